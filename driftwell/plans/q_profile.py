@@ -270,15 +270,15 @@ def hard_rules_sql(rules: P.GateRules, by: str | None = None) -> str:
         for bound, word, op, tag in ((lo, "below minimum", "<", "lt"), (hi, "above maximum", ">", "gt")):
             counts.append(f"count(*) FILTER (WHERE {c} {op} {bound}) AS {tag}_{c}")
             messages.append(
-                f"CASE WHEN {tag}_{c} / n > {rules.max_invalid} THEN printf('Column ''{c}'' has %d values {word} {bound} (%.2f%% > 0.50%%)', {tag}_{c}, {tag}_{c} / n * 100) END"
+                f"CASE WHEN {tag}_{c} / n > {rules.max_invalid} THEN printf('Column ''{c}'' has %d values {word} {bound} (%.2f%% > {rules.max_invalid * 100:.2f}%%)', {tag}_{c}, {tag}_{c} / n * 100) END"
             )
     counts.append(f"count(*) FILTER (WHERE {PICKUP} >= {DROPOFF}) AS bad_order")
     messages.append(
-        f"CASE WHEN bad_order / n > {rules.max_order} THEN printf('Found %d rows where pickup_datetime >= dropoff_datetime (%.2f%% > 0.50%%)', bad_order, bad_order / n * 100) END"
+        f"CASE WHEN bad_order / n > {rules.max_order} THEN printf('Found %d rows where pickup_datetime >= dropoff_datetime (%.2f%% > {rules.max_order * 100:.2f}%%)', bad_order, bad_order / n * 100) END"
     )
     counts.append("count(*) FILTER (WHERE tip_amount > total_amount) AS bad_tip")
     messages.append(
-        f"CASE WHEN bad_tip / n > {rules.max_tip_over_total} THEN printf('Found %d rows where tip_amount > total_amount (%.2f%% > 0.50%%)', bad_tip, bad_tip / n * 100) END"
+        f"CASE WHEN bad_tip / n > {rules.max_tip_over_total} THEN printf('Found %d rows where tip_amount > total_amount (%.2f%% > {rules.max_tip_over_total * 100:.2f}%%)', bad_tip, bad_tip / n * 100) END"
     )
     for c in rules.critical:
         messages.append(f"CASE WHEN na_{c} > 0 THEN printf('Critical column ''{c}'' has %d missing values', na_{c}) END")

@@ -22,7 +22,7 @@ def trip_columns(spark: bool) -> dict[str, str]:
     ride = "(l_partkey * 13 + l_linenumber) % 401 - 8"
     pickup = _plus_minutes("l_shipdate", start, spark)
     dropoff = _plus_minutes("l_shipdate", f"({start}) + ({ride})", spark)
-    fare = "l_extendedprice / 200"
+    fare = "l_extendedprice / 197"
     tip = f"({fare}) * (l_discount + 0.0)"
     text = "STRING" if spark else "VARCHAR"
     return {

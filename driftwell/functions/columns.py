@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -138,6 +138,15 @@ def detect_datetime_columns(df: DataFrame, share: float = 0.8) -> DataFrame:
     return table.withColumn("is_datetime", F.col("parse_frac") > share)
 
 
+def by_column(columns: Sequence[str], job: Callable[[str], DataFrame]) -> DataFrame:
+    """Union of one small job per column.
+
+    For work that shuffles by value: every branch reads its own column of a
+    columnar scan, so together they read each column once, and they run side by side.
+    """
+    return reduce(DataFrame.unionByName, [job(c) for c in columns])
+
+
 def column_in_message(message: str | Column) -> Column:
     """Text between ``Column '`` and the next quote; NULL when there is none."""
     found = F.regexp_extract(message, "Column '([^']*)'", 1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftwell.operators.prefix import running_total
+from driftwell.operators.prefix import column_points, running_total
 
 
 def rmse(truth: str | Column, guess: str | Column) -> Column:
@@ -111,7 +111,7 @@ def roc_auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> Da
     counts = df.where(F.col(label).isNotNull() & F.col(score).isNotNull()).groupBy(*by, score).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    ranked = running_total(counts, score, {"neg_to": "neg"}, by)
+    ranked = running_total(counts, score, {"neg_to": "neg"}, by, points=column_points(df, [score]))
     wins = F.sum(F.col("pos") * (F.col("neg_to") - F.col("neg") * 0.5))
     return ranked.groupBy(*by).agg(
         F.sum("pos").alias("positives"),

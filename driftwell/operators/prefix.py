@@ -11,13 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driftwell.functions.columns import by_column, to_number
+
 BUCKETS = 128
 SMALL_ROWS = 1_000_000
 HASH_PREFIX = 3
@@ -44,6 +46,15 @@ def split_points(df: DataFrame, value: str, buckets: int) -> list[float]:
     return sorted(df.approxQuantile(value, probs, QUANTILE_ERROR / buckets))
 
 
+def column_points(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> list[float]:
+    """Split points for several number columns at once, from one narrow scan."""
+    each = max(8, buckets // max(len(columns), 1))
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    probs = [i / each for i in range(1, each)]
+    found = wide.approxQuantile(list(columns), probs, QUANTILE_ERROR / each)
+    return sorted({p for points in found for p in points})
+
+
 def add_bucket(df: DataFrame, value: str, points: Sequence[float], out: str = "_b") -> DataFrame:
     """Bucket number of ``value`` by binary search over the split points."""
     inner = sorted({p for p in points if p not in (float("inf"), float("-inf"))})
@@ -60,15 +71,17 @@ def running_total(
     sums: Mapping[str, str],
     by: Sequence[str] = (),
     buckets: int = BUCKETS,
+    points: Sequence[float] | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``sums`` (new name -> column) along ``order_by``.
 
     ``(by, order_by)`` must be unique: aggregate to distinct values first. That
     also removes hot values, so each bucket holds about the same number of rows.
+    Any split ``points`` give the right sums; pass some to save the scan that finds them.
     """
     by = list(by)
     keyed = df.withColumn("_o", order_value(df, order_by))
-    keyed = add_bucket(keyed, "_o", split_points(keyed, "_o", buckets))
+    keyed = add_bucket(keyed, "_o", split_points(keyed, "_o", buckets) if points is None else points)
     totals = keyed.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -160,32 +173,66 @@ def hash_rank(
     )
 
 
-def hash_cut(df: DataFrame, keys: Sequence[str], seed: object, k: int) -> Column:
-    """Predicate that holds for exactly the ``k`` rows smallest in md5 order.
+def turned(turn: int, h: str = "_h") -> Column:
+    """A row hash read from another digit on: a further order from the same hash."""
+    cut = (turn * HASH_PREFIX) % 32
+    return F.concat(F.substring(h, cut + 1, 32), F.substring(h, 1, cut)) if cut else F.col(h)
+
+
+def hash_cuts(df: DataFrame, sizes: Sequence[float | int], stop: int = NARROW_STOP) -> list[Column]:
+    """One predicate per wanted size, each true for exactly that many rows of a frame with ``_h``.
 
-    Narrows the hash prefix until few rows are left in the bucket where rank
-    ``k`` falls, so no row is shuffled: each round is one counting scan and the
-    result is a comparison with a literal. ``keys`` must identify a row.
+    A size below 1 is a share of all rows (at least one row), else a row count.
+    Predicate ``i`` takes the smallest rows in the order of the hash turned by
+    ``i``. The prefix is narrowed until few rows are left where the last rank
+    falls; rows are counted, never moved, and the result is a comparison with a
+    literal. ``_h`` is a :func:`row_hash` of keys that identify a row.
     """
-    hashed = df.select(row_hash(seed, keys).alias("_h"))
-    if k <= 0:
-        return F.lit(False)
-    prefix, skipped = "", 0
-    while True:
-        inside = hashed.where(F.col("_h").startswith(prefix)) if prefix else hashed
-        width = len(prefix) + HASH_PREFIX
-        counts = inside.groupBy(F.substring("_h", 1, width).alias("p")).count().orderBy("p").collect()
-        for p, n in counts:  # at most 16**HASH_PREFIX rows
-            if skipped + n >= k:
-                break
-            skipped += n
-        else:
-            return F.lit(True)
-        prefix = p
-        if n <= NARROW_STOP or width >= 30:
-            break
-    last = hashed.where(F.col("_h").startswith(prefix)).orderBy("_h").limit(k - skipped).agg(F.max("_h"))
-    return row_hash(seed, keys) <= F.lit(last.first()[0])
+    orders = range(len(sizes))
+    hashed = df.select(F.posexplode(F.array(*[turned(i) for i in orders])).alias("i", "h"))
+    starts = F.array(*[F.substring(turned(i), 1, HASH_PREFIX) for i in orders])
+    first = df.select(F.posexplode(starts).alias("i", "p"))
+    goal: dict[int, int] = {}
+    prefix = dict.fromkeys(range(len(sizes)), "")
+    skipped = dict.fromkeys(range(len(sizes)), 0)
+    bound: dict[int, str] = {}
+    active = set(range(len(sizes)))
+    while active:
+        width = len(prefix[min(active)]) + HASH_PREFIX
+        # at most sizes x 16**HASH_PREFIX rows
+        part = _inside(hashed, prefix, active).select("i", F.substring("h", 1, width).alias("p")) if goal else first
+        counted = part.groupBy("i", "p").count().collect()
+        if not goal:
+            rows = sum(r["count"] for r in counted if r["i"] == 0)
+            goal = {i: (max(1, int(s * rows)) if 0 < s < 1 else int(s)) for i, s in enumerate(sizes)}
+        small = set()
+        for i in sorted(active):
+            if goal[i] <= 0:
+                bound[i] = ""
+                active.discard(i)
+                continue
+            for _, p, n in sorted(r for r in map(tuple, counted) if r[0] == i):
+                if skipped[i] + n >= goal[i]:
+                    prefix[i] = p
+                    if n <= stop or width >= 30:
+                        small.add(i)
+                    break
+                skipped[i] += n
+            else:
+                bound[i] = "g"  # beyond every hex digit: all rows
+                active.discard(i)
+        if small:
+            left = _inside(hashed, prefix, small).collect()  # at most sizes x stop rows
+            for i in small:
+                ranked = sorted(h for j, h in map(tuple, left) if j == i)
+                bound[i] = ranked[goal[i] - skipped[i] - 1]
+            active -= small
+    return [turned(i) <= F.lit(bound[i]) for i in range(len(sizes))]
+
+
+def _inside(hashed: DataFrame, prefix: Mapping[int, str], which: set[int]) -> DataFrame:
+    tests = [(F.col("i") == i) & F.col("h").startswith(prefix[i]) for i in sorted(which)]
+    return hashed.where(reduce(or_, tests))
 
 
 def exact_quantiles(
@@ -249,12 +296,12 @@ def exact_quantiles_of_columns(
 ) -> dict[str, list[float | None]]:
     """Quantile lists per column, brought to the driver (columns x probs numbers)."""
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    wide = df.select(*[F.nanvl(F.col(c).try_cast("double"), F.lit(None)).alias(c) for c in columns])
+    wide = df.select(*[to_number(c).alias(c) for c in columns])
     if wide.limit(small_rows + 1).count() <= small_rows:
-        row = wide.agg(*[F.percentile(c, wanted).alias(c) for c in columns]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
-    long = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("f"), F.col(c).alias("v")) for c in columns])))
-    out: dict[str, dict[float, float]] = {c: {} for c in columns}
-    for row in exact_quantiles(long, "v", probs, ["f"], small_rows).collect():
-        out[row["f"]][row["prob"]] = row["value"]
-    return {c: [out[c].get(float(p)) for p in probs] for c in columns}
+        one = lambda c: wide.agg(F.lit(c).alias("c"), F.percentile(c, wanted).alias("q"))
+        return {r["c"]: list(r["q"] or [None] * len(probs)) for r in by_column(columns, one).collect()}
+    out: dict[str, list[float | None]] = {}
+    for c in columns:
+        found = {r["prob"]: r["value"] for r in exact_quantiles(wide, c, probs, (), small_rows).collect()}
+        out[c] = [found.get(float(p)) for p in probs]
+    return out

@@ -338,15 +338,20 @@ def time_split(spark, d):
     return out.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("fare_amount"), 6).alias("fare"))
 
 
-def _pick(rule: str, share: float, seed: int = 11) -> str:
-    return f"(row_number() OVER (ORDER BY md5('{seed}-{rule}|' || trip_id)) <= greatest(1, floor({share}::DOUBLE * count(*) OVER ())::BIGINT))"
+def _turned(key: str, seed: int, turn: int) -> str:
+    h = f"md5('{seed}|' || {key})"
+    return f"(substr({h}, {3 * turn + 1}) || substr({h}, 1, {3 * turn}))"
+
+
+def _pick(turn: int, share: float, seed: int = 11) -> str:
+    return f"(row_number() OVER (ORDER BY {_turned('trip_id', seed, turn)}) <= greatest(1, floor({share}::DOUBLE * count(*) OVER ())::BIGINT))"
 
 
 @query(
     "planted_faults",
     "D5",
-    f"WITH {TRIPS_SQL}, f AS (SELECT *, {_pick('missing-trip_distance', 0.02)} AS m1, {_pick('missing-fare_amount', 0.02)} AS m2, {_pick('missing-payment_type', 0.02)} AS m3, {_pick('missing-tip_amount', 0.02)} AS m4, "
-    f"{_pick('negative', 0.01)} AS neg, {_pick('payment', 0.01)} AS pay, {_pick('order', 0.005)} AS ord FROM trips) "
+    f"WITH {TRIPS_SQL}, f AS (SELECT *, {_pick(0, 0.02)} AS m1, {_pick(1, 0.02)} AS m2, {_pick(2, 0.02)} AS m3, {_pick(3, 0.02)} AS m4, "
+    f"{_pick(4, 0.01)} AS neg, {_pick(5, 0.01)} AS pay, {_pick(6, 0.005)} AS ord FROM trips) "
     "SELECT trip_id, CASE WHEN neg THEN -abs(coalesce(CASE WHEN NOT m1 THEN trip_distance END, 1)) WHEN NOT m1 THEN trip_distance END AS trip_distance, CASE WHEN NOT m2 THEN fare_amount END AS fare_amount, "
     "CASE WHEN pay THEN 99 WHEN NOT m3 THEN payment_type END::DOUBLE AS payment_type, CASE WHEN NOT m4 THEN tip_amount END AS tip_amount, "
     "CASE WHEN ord THEN lpep_pickup_datetime - INTERVAL 5 MINUTE ELSE lpep_dropoff_datetime END AS lpep_dropoff_datetime FROM f",
@@ -356,8 +361,8 @@ def planted_faults(spark, d):
     return out.select("trip_id", "trip_distance", "fare_amount", "payment_type", "tip_amount", "lpep_dropoff_datetime")
 
 
-def _ev_pick(rule: str, k: str) -> str:
-    return f"(row_number() OVER (ORDER BY md5('2-{rule}|' || event_id)) <= {k})"
+def _ev_pick(turn: int, k: str) -> str:
+    return f"(row_number() OVER (ORDER BY {_turned('event_id', 2, turn)}) <= {k})"
 
 
 def _ev_unit(rule: str) -> str:
@@ -372,7 +377,7 @@ def _ev_noise(c: str) -> str:
     "planted_point_faults",
     "D6",
     "WITH x AS (SELECT event_id, value AS x1, user_id::DOUBLE AS x2, (event_type = 'purchase')::INT AS y FROM events), "
-    f"f AS (SELECT *, {_ev_pick('outlier', 18)} AS o, {_ev_pick('missing', 10)} AS m, {_ev_pick('flip', 'floor(0.05::DOUBLE * count(*) OVER ())')} AS fl FROM x) "
+    f"f AS (SELECT *, {_ev_pick(0, 18)} AS o, {_ev_pick(1, 10)} AS m, {_ev_pick(2, 'floor(0.05::DOUBLE * count(*) OVER ())')} AS fl FROM x) "
     f"SELECT event_id, round(CASE WHEN NOT m THEN CASE WHEN o THEN x1 + {_ev_noise('x1')} ELSE x1 END END, 6) AS x1, round(CASE WHEN o THEN x2 + {_ev_noise('x2')} ELSE x2 END, 6) AS x2, CASE WHEN fl THEN 1 - y ELSE y END AS y FROM f",
 )
 def planted_point_faults(spark, d):

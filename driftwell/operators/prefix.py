@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -24,7 +24,7 @@ BUCKETS = 128
 SMALL_ROWS = 1_000_000
 HASH_PREFIX = 3
 NARROW_STOP = 20_000
-QUANTILE_ERROR = 0.25
+ACCURACY = 2  # rank error of split points: half a bucket
 
 
 def order_value(df: DataFrame, column: str) -> Column:
@@ -40,19 +40,26 @@ def order_value(df: DataFrame, column: str) -> Column:
     return F.coalesce(value, F.lit(float("-inf")))
 
 
+def _approx(value: Column, buckets: int) -> Column:
+    probs = F.expr("array(" + ", ".join(f"{i / buckets!r}D" for i in range(1, buckets)) + ")")
+    return F.percentile_approx(F.nanvl(value, F.lit(None)), probs, F.lit(ACCURACY * buckets))
+
+
 def split_points(df: DataFrame, value: str, buckets: int) -> list[float]:
     """Approximate quantiles of ``value``; a heavy value shows up repeatedly."""
-    probs = [i / buckets for i in range(1, buckets)]
-    return sorted(df.approxQuantile(value, probs, QUANTILE_ERROR / buckets))
+    return sorted(df.agg(_approx(F.col(value), buckets)).first()[0] or [])
+
+
+def points_by_column(df: DataFrame, columns: Sequence[str], buckets: int) -> dict[str, list[float]]:
+    """Split points for several number columns, from one narrow scan."""
+    row = df.agg(*[_approx(F.col(c).cast("double"), buckets).alias(c) for c in columns]).first()
+    return {c: sorted(row[c] or []) for c in columns}
 
 
 def column_points(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> list[float]:
-    """Split points for several number columns at once, from one narrow scan."""
-    each = max(8, buckets // max(len(columns), 1))
-    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    probs = [i / each for i in range(1, each)]
-    found = wide.approxQuantile(list(columns), probs, QUANTILE_ERROR / each)
-    return sorted({p for points in found for p in points})
+    """One list of split points that serves several columns together."""
+    found = points_by_column(df, columns, max(8, buckets // max(len(columns), 1)))
+    return sorted({p for points in found.values() for p in points})
 
 
 def add_bucket(df: DataFrame, value: str, points: Sequence[float], out: str = "_b") -> DataFrame:
@@ -87,21 +94,28 @@ def running_total(
     offsets = totals.select(
         *by, "_b", *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_s_{n}") for n in sums]
     )
+    offsets = keyed_by(offsets, [*by, "_b"], drop=True)
     if not by:  # at most `buckets` rows by construction
         offsets = F.broadcast(offsets)
-    inside = Window.partitionBy(*by, "_b").orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("_k").orderBy(order_by).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        join_null_safe(keyed, offsets, [*by, "_b"])
+        keyed_by(keyed, [*by, "_b"])
+        .join(offsets, "_k")
         .withColumns({n: F.sum(c).over(inside) + F.col(f"_s_{n}") for n, c in sums.items()})
-        .drop("_o", "_b", *[f"_s_{n}" for n in sums])
+        .drop("_o", "_b", "_k", *[f"_s_{n}" for n in sums])
     )
 
 
+def keyed_by(df: DataFrame, keys: Sequence[str], drop: bool = False) -> DataFrame:
+    """Add ``_k``, one struct of the keys: null fields compare equal, and a join and a
+    window on ``_k`` share one shuffle."""
+    out = df.withColumn("_k", F.struct(*keys))
+    return out.drop(*keys) if drop else out
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null matches null, keeping the left key columns."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
-    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+    return keyed_by(left, keys).join(keyed_by(right, keys, drop=True), "_k", how).drop("_k")
 
 
 def row_hash(seed: object, keys: Sequence[str]) -> Column:
@@ -139,13 +153,15 @@ def global_row_number(
     totals = keyed.groupBy(*by, "_b", "_c").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_b", "_c").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "_b", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))
+    offsets = keyed_by(offsets, [*by, "_b", "_c"], drop=True)
     if not by:  # bounded by the number of buckets and cuts
         offsets = F.broadcast(offsets)
-    inside = Window.partitionBy(*by, "_b", "_c").orderBy(F.col(order_by), F.col("_h"), *tie)
+    inside = Window.partitionBy("_k").orderBy(F.col(order_by), F.col("_h"), *tie)
     return (
-        join_null_safe(keyed, offsets, [*by, "_b", "_c"])
+        keyed_by(keyed, [*by, "_b", "_c"])
+        .join(offsets, "_k")
         .withColumn(out, F.row_number().over(inside) + F.col("_s"))
-        .drop("_o", "_h", "_b", "_c", "_s")
+        .drop("_o", "_h", "_b", "_c", "_s", "_k")
     )
 
 
@@ -163,13 +179,15 @@ def hash_rank(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"),
         F.sum("_n").over(Window.partitionBy(*by)).alias(f"{out}_of"),
     )
-    if not by:
+    offsets = keyed_by(offsets, [*by, "_b"], drop=True)
+    if not by:  # at most 16**HASH_PREFIX rows
         offsets = F.broadcast(offsets)
-    inside = Window.partitionBy(*by, "_b").orderBy("_h", *keys)
+    inside = Window.partitionBy("_k").orderBy("_h", *keys)
     return (
-        join_null_safe(keyed, offsets, [*by, "_b"])
+        keyed_by(keyed, [*by, "_b"])
+        .join(offsets, "_k")
         .withColumn(out, F.row_number().over(inside) + F.col("_s"))
-        .drop("_h", "_b", "_s")
+        .drop("_h", "_b", "_s", "_k")
     )
 
 
@@ -255,7 +273,7 @@ def exact_quantiles(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    if base.limit(small_rows + 1).count() <= small_rows:
+    if base.count() <= small_rows:
         got = base.groupBy(*by).agg(F.percentile("_v", wanted).alias("_q"))
         pairs = F.arrays_zip(wanted.alias("prob"), F.col("_q").alias("value"))
         return got.select(*by, F.inline(pairs).alias("prob", "value"))
@@ -297,7 +315,7 @@ def exact_quantiles_of_columns(
     """Quantile lists per column, brought to the driver (columns x probs numbers)."""
     wanted = F.array(*[F.lit(float(p)) for p in probs])
     wide = df.select(*[to_number(c).alias(c) for c in columns])
-    if wide.limit(small_rows + 1).count() <= small_rows:
+    if wide.count() <= small_rows:
         one = lambda c: wide.agg(F.lit(c).alias("c"), F.percentile(c, wanted).alias("q"))
         return {r["c"]: list(r["q"] or [None] * len(probs)) for r in by_column(columns, one).collect()}
     out: dict[str, list[float | None]] = {}

@@ -82,13 +82,23 @@ def brute_ks(ref, cur):
 
 
 @pytest.mark.parametrize("ties", [False, True])
-def test_ks(spark, ties):
+@pytest.mark.parametrize("buckets", [2, 8, 512])
+def test_ks(spark, ties, buckets):
     ref, cur = sample(200, ties=ties), sample(150, 0.3, ties, seed=3)
     a, b = frames(spark, [*ref, None], [*cur, float("nan")])
-    row = D.ks_two_sample(a, b, ["a"]).first()
+    row = D.ks_two_sample(a, b, ["a"], buckets).first()
     assert row["ks"] == pytest.approx(brute_ks(ref, cur)) and (row["n_ref"], row["n_cur"]) == (200, 150)
 
 
+def test_ks_of_like_and_unlike_slices(spark):
+    a, b = frames(spark, sample(300), sample(300))
+    assert D.ks_two_sample(a, b, ["a"]).first()["ks"] == 0.0
+    a, b = frames(spark, [1.0, 2.0], [3.0, 4.0])
+    assert D.ks_two_sample(a, b, ["a"]).first()["ks"] == 1.0
+    a, b = frames(spark, [1.0], [None])
+    assert D.ks_two_sample(a, b, ["a"]).count() == 0
+
+
 @pytest.mark.parametrize("ties", [False, True])
 def test_ks_by_chunk(spark, ties):
     ref, cur = sample(120, ties=ties), sample(250, 0.3, ties, seed=4)

@@ -147,6 +147,29 @@ def by_column(columns: Sequence[str], job: Callable[[str], DataFrame]) -> DataFr
     return reduce(DataFrame.unionByName, [job(c) for c in columns])
 
 
+def to_digits(x: Column, digits: int) -> Column:
+    """Rounding of fixed-point text: by the exact binary value, ties to even.
+
+    The JVM formatter rounds the shortest decimal form half up, so 6.25 would
+    print as 6.3. The error of ``x * 10**digits`` is kept to decide near ties.
+    Meant for the few rows of a report: the value is bound once, outside of codegen.
+    """
+    return F.transform(F.array(x), lambda v: _exact_round(v, digits))[0]
+
+
+def _exact_round(x: Column, digits: int) -> Column:
+    p = F.lit(float(10**digits))
+    y = x * p
+    big = x * F.lit(134217729.0)
+    high = big - (big - x)
+    error = (high * p - y) + (x - high) * p
+    down = F.floor(y).cast("double")
+    rest = y - down
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (F.abs(down) % 2 == 1))))
+    rounded = F.when(up, down + 1.0).otherwise(down)
+    return F.when((rounded == 0) & (x < 0), F.lit(-0.0)).otherwise(rounded / p)
+
+
 def column_in_message(message: str | Column) -> Column:
     """Text between ``Column '`` and the next quote; NULL when there is none."""
     found = F.regexp_extract(message, "Column '([^']*)'", 1)

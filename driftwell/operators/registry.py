@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftwell.functions.columns import to_digits
+
 
 def latest_model(runs: DataFrame, by: Sequence[str] = ("experiment_id",)) -> DataFrame:
     """Newest finished train or retrain run that has a model, per experiment.
@@ -59,9 +61,9 @@ def model_gate(table: DataFrame, threshold_pct: float = 5.0) -> DataFrame:
             "retrain_needed": needed,
             "action": F.when(needed, "retrain").otherwise("keep_champion"),
             "retrain_reason": F.when(
-                needed, F.format_string("Champion RMSE is %.2f%% worse than baseline", x)
+                needed, F.format_string("Champion RMSE is %.2f%% worse than baseline", to_digits(x, 2))
             ).otherwise(
-                F.format_string(f"Champion RMSE within threshold (%.2f%% vs {threshold_pct:.2f}%%)", x)
+                F.format_string(f"Champion RMSE within threshold (%.2f%% vs {threshold_pct:.2f}%%)", to_digits(x, 2))
             ),
         }
     )
@@ -96,8 +98,8 @@ def promotion_gate(
             ~beats,
             F.format_string(
                 f"Candidate does not beat champion by {min_improvement * 100:.2f}%%: candidate=%.4f, champion=%.4f",
-                c("rmse_candidate"),
-                c("rmse_champion"),
+                to_digits(c("rmse_candidate"), 4),
+                to_digits(c("rmse_champion"), 4),
             ),
         )
         .when(c("rmse_candidate_reference").isNull() | c("rmse_champion_reference").isNull(), REASONS["reference"])
@@ -105,9 +107,9 @@ def promotion_gate(
             c("rmse_candidate_reference") > allowed,
             F.format_string(
                 "Reference-slice regression too high: candidate_ref=%.4f, champion_ref=%.4f, allowed_max=%.4f",
-                c("rmse_candidate_reference"),
-                c("rmse_champion_reference"),
-                allowed,
+                to_digits(c("rmse_candidate_reference"), 4),
+                to_digits(c("rmse_champion_reference"), 4),
+                to_digits(allowed, 4),
             ),
         )
         .when(c("candidate_version").isNull(), REASONS["version"])

@@ -49,10 +49,10 @@ def psi_sql(columns: list[str]) -> str:
     return ", ".join(steps)
 
 
-def psi_rows(columns: list[str]) -> str:
+def psi_rows(columns: list[str], digits: int = 6) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS feature, (SELECT round(sum((p - q) * ln(p / q)), 8) FROM p1_{c}) AS psi, "
-        f"(SELECT round(avg({c}), 6) FROM ref) AS ref_mean, (SELECT round(avg({c}), 6) FROM cur) AS cur_mean"
+        f"(SELECT round(avg({c}), {digits}) FROM ref) AS ref_mean, (SELECT round(avg({c}), {digits}) FROM cur) AS cur_mean"
         for c in columns
     )
 
@@ -221,10 +221,10 @@ def drifted_columns(spark, d):
     "WITH ref AS (SELECT value FROM events WHERE ts < TIMESTAMP '2024-01-16'), cur AS (SELECT value FROM events WHERE ts >= TIMESTAMP '2024-01-16'), "
     + psi_sql(["value"])
     + " "
-    + psi_rows(["value"]),
+    + psi_rows(["value"], 9),
 )
 def event_value_drift(spark, d):
     df = table(spark, d, "events")
     cut = F.lit("2024-01-16").cast("timestamp_ntz")
     out = D.psi_table(df.where(F.col("ts") < cut), df.where(F.col("ts") >= cut), ["value"])
-    return out.withColumns({"psi": F.round("psi", 8), "ref_mean": F.round("ref_mean", 6), "cur_mean": F.round("cur_mean", 6)})
+    return out.withColumns({"psi": F.round("psi", 8), "ref_mean": F.round("ref_mean", 9), "cur_mean": F.round("cur_mean", 9)})

@@ -70,6 +70,15 @@ def test_message_columns_and_lists(spark):
     assert [r[0] for r in back.collect()] == [["a", "b"], []]
 
 
+def test_text_rounding_matches_python(spark):
+    values = [6.25, 6.35, 6.75, 0.05, 2.675, 1.005, 0.125, 0.375, -0.125, -0.004, 63.5, 0.15, 1e6 + 0.05, 12.5, 99.95]
+    values += [k / 20 for k in range(400)] + [k / 37 for k in range(200)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for digits in (1, 2, 4):
+        got = df.select(F.format_string(f"%.{digits}f", C.to_digits(F.col("v"), digits)).alias("t")).collect()
+        assert [r["t"] for r in got] == [f"{v:.{digits}f}" for v in values]
+
+
 def test_status_labels(spark):
     df = spark.createDataFrame([(80.0, 10), (79.9, 9), (50.0, 5), (49.9, 4)], "s double, n int")
     got = [tuple(r) for r in df.select(C.quality_status("s"), C.severity("n")).collect()]

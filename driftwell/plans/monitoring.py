@@ -26,7 +26,7 @@ class MonitorConfig:
     """``keys`` identify a row of a slice; the rest are fixed values of the run, each can be overridden."""
 
     keys: Sequence[str]
-    model_name: str = "green_taxi_tip_model"
+    model_name: str = "trip_tip_model"
     label: str = "tip_amount"
     order_by: str = PICKUP
     rules: profile.GateRules = field(default_factory=profile.GateRules)

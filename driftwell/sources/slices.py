@@ -40,7 +40,7 @@ def load_slice(spark: SparkSession, path: str, times: Sequence[str] = (PICKUP, D
 def slice_path(spark: SparkSession, folder: str, month: str, year: str = "2020") -> str:
     path = f"{folder.rstrip('/')}/{SLICE_NAME.format(year=year, month=month)}"
     if not _exists(spark, path):
-        raise FileNotFoundError(f"Taxi data not found: {path}")
+        raise FileNotFoundError(f"No slice at {path}")
     return path
 
 

@@ -234,8 +234,8 @@ def test_monitoring_promotes_and_then_keeps(spark, data_dir, folder):
     first = run_monitoring(ref, cur, store, config(degradation_pct=-100.0))
     assert first.decisions["champion"]["bootstrap"] and first.decisions["retrain"]["retrain_executed"]
     assert first.decisions["promotion"]["promotion_executed"], first.decisions["promotion"]
-    assert store.alias("green_taxi_tip_model", "champion") == "2"
-    assert store.alias("green_taxi_tip_model", "previous_champion") == "1"
+    assert store.alias("trip_tip_model", "champion") == "2"
+    assert store.alias("trip_tip_model", "previous_champion") == "1"
     assert first.tables["predictions"].count() == cur.count()
     second = run_monitoring(ref, cur, store, config(degradation_pct=1e9))
     assert not second.decisions["champion"]["bootstrap"]

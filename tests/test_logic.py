@@ -382,3 +382,9 @@ def test_row_hash_is_md5(spark):
     from driftwell.operators.prefix import row_hash
 
     assert spark.range(1).select(row_hash("s", ["id"])).first()[0] == hashlib.md5(b"s|0").hexdigest()
+
+
+def test_salted_sum(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
+    got = {r["g"]: r["total"] for r in K.salted_group_sum(df, ["g"], "v", salts=5).collect()}
+    assert got == {g: sum(range(g, 1000, 3)) for g in range(3)}

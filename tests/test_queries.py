@@ -1,6 +1,5 @@
 """Every registered query against its SQL on the smallest tables."""
 
-import duckdb  # noqa: F401
 import pytest
 
 from driftwell.plans.check import compare, connect

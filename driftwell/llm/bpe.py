@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 from pathlib import Path
 
 import numpy as np
@@ -25,7 +26,9 @@ from driftwell.llm.table import per_batch
 # Fixed value: the published pretoken pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_VOCABULARY_BYTES = 64 << 20
-CACHE = 1 << 18
+CACHE = 1 << 18  # entries
+SHORT = 32
+LOW, NEVER = (1 << 32) - 1, 1 << 64  # a rank and the id it leads to, in one number
 
 
 def byte_letters() -> dict[str, int]:
@@ -36,17 +39,23 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Fragments(dict):
-    """Text piece -> its ids, packed as little-endian unsigned 32-bit numbers. Bounded in size."""
+    """Text piece -> its ids, packed as little-endian unsigned 32-bit numbers. Keeps the pieces seen last:
+    when full, the entries of the time before are dropped and the present ones take their place."""
 
     def __init__(self, encode):
         super().__init__()
-        self.encode = encode
+        self.encode, self.earlier = encode, {}
 
     def __missing__(self, piece):
         if len(self) >= CACHE:
+            self.earlier = dict(self)
             self.clear()
-        ids = self[piece] = self.encode(piece)
+        ids = self[piece] = self.earlier.get(piece) or self.encode(piece)
         return ids
 
 
@@ -62,33 +71,37 @@ class Encoder:
         to_bytes = lambda token: bytes(letters[c] for c in token)
         self.ids = {to_bytes(t): i for t, i in model["vocab"].items()}
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.added.items()}
+        named = {i: b for b, i in self.ids.items()} | {i: t.encode() for t, i in self.added.items()}
+        self.tokens = [named.get(i, b"") for i in range(max(named) + 1)]
         self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        self.single = [self.ids[bytes([b])] for b in range(256)]
         for rank, pair in enumerate(model["merges"]):
             left, right = map(to_bytes, pair.split(" ") if isinstance(pair, str) else pair)
             self.merges[self.ids[left], self.ids[right]] = rank, self.ids[left + right]
-        self.joined = np.zeros((256, 256), bool)
-        for token in self.ids:
-            b = np.frombuffer(token, np.uint8)
-            self.joined[b[:-1], b[1:]] = True
+        self.ranked = {pair: rank << 32 | i for pair, (rank, i) in self.merges.items()}
+        self.joined = {pair for token in self.ids for pair in zip(token, token[1:], strict=False)}
         self.pieces = Fragments(lambda piece: self.encode_piece(piece.encode()))
-        self.fragments = Fragments(lambda part: np.array(self.merge(part), "<u4").tobytes())
+        self.fragments = Fragments(lambda part: pack(self.merge(part)))
         self.find = regex.compile(PATTERN).findall
         found = "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))
         self.split = regex.compile(f"({found})").split if found else lambda text: [text]
 
     def cuts(self, piece: bytes) -> list[int]:
-        """Where a token can't lie across, ends included."""
-        b = np.frombuffer(piece, np.uint8)
-        return [0, *(np.flatnonzero(~self.joined[b[:-1], b[1:]]) + 1).tolist(), len(piece)]
+        """The places that no token can lie across."""
+        joined = self.joined
+        return [i for i, pair in enumerate(zip(piece, piece[1:], strict=False), 1) if pair not in joined]
 
     def encode_piece(self, piece: bytes) -> bytes:
-        at = self.cuts(piece)
+        if not (cuts := self.cuts(piece)):
+            return pack(self.merge(piece))
+        at = [0, *cuts, len(piece)]
         return b"".join([self.fragments[piece[a:b]] for a, b in zip(at, at[1:], strict=False)])
 
     def merge(self, part: bytes) -> list[int]:
         """Ids of one fragment: of all neighbours, the pair of least rank is joined first, leftmost first."""
-        ids = [self.ids[part[i : i + 1]] for i in range(len(part))]
+        ids = [self.single[b] for b in part]
+        if len(ids) <= SHORT:
+            return self.merge_short(ids)
         after = [*range(1, len(ids)), -1]
         before = [*range(-1, len(ids) - 1)]
         merges = self.merges
@@ -109,12 +122,26 @@ class Encoder:
                     heapq.heappush(heap, (merges[p][0], a, p))
         return [i for i in ids if i >= 0]
 
+    def merge_short(self, ids: list[int]) -> list[int]:
+        """The same for a few bytes: ranks of neighbours are kept in a list and mended beside each join."""
+        find, none = self.ranked.get, NEVER
+        ranks = [find(pair, none) for pair in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            i = ranks.index(best)
+            ids[i] = best & LOW
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = find((ids[i - 1], ids[i]), none)
+            if i < len(ranks):
+                ranks[i] = find((ids[i], ids[i + 1]), none)
+        return ids
+
     def encode(self, text: str) -> bytes:
         """Packed ids of a text."""
         out = []
         for n, part in enumerate(self.split(text)):
             if n % 2:
-                out.append(np.array([self.added[part]], "<u4").tobytes())
+                out.append(pack([self.added[part]]))
             elif part:
                 out.extend(map(self.pieces.__getitem__, self.find(part)))
         return b"".join(out)

@@ -31,7 +31,7 @@ WEIGHTS = (5.0, 2.0, 1.0)  # by code point of the source, repeating
 MOST_TIMES = 3
 BLOCK = 32
 SHARDS = 64
-ROWS_PER_RUN = 20_000
+ROWS_PER_RUN = 2_000
 MAX_SOURCES = 20_000
 SEED = 7
 

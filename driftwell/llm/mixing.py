@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftwell.llm.blocks import Words, constants, flat, mix64, spans_to_mask
 from driftwell.llm.table import per_batch, word_count
@@ -200,10 +201,9 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, s
         F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th"),
     )
     keyed = keyed.select("row", F.struct("doc_id", "th").alias("k"), _copy("doc_id", "th").alias("copy"))
-    joined = keyed.join(parts, ["k", "copy"]).select(F.col("row.text").alias("text"), "size", "parts", "row")
-    cut = joined.select("row", "size", "parts").mapInArrow(
-        per_batch(lambda: _cut), f"row {docs.schema.simpleString()}, cut string"
-    )
+    joined = keyed.join(parts, ["k", "copy"]).select("row", "size", "parts")
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("cut", T.StringType())])
+    cut = joined.mapInArrow(per_batch(lambda: _cut), schema)
     return cut.select(*[F.col("cut").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in columns])
 
 

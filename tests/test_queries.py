@@ -2,7 +2,7 @@
 
 import pytest
 
-from driftwell.plans.check import compare, connect
+from oracle import compare, connect
 from driftwell.plans.registered import QUERIES
 
 WITH_SQL = sorted(n for n, q in QUERIES.items() if q.sql)

@@ -8,11 +8,19 @@ component keeps the first point it sees; an interval is left as soon as its next
 largest kept one. So two texts agree in a component with probability equal to their weighted Jaccard
 similarity.
 
-Signatures are cut into bands; texts that share a band are candidates and are verified on the whole
-multisets (sum of minima to sum of maxima, ``SIMILAR`` or more). Links make classes. Pairs inside a bucket
-are not listed: each round compares one pivot of a bucket with its members in other classes; buckets whose
-members are in one class are done. When few pairs of different classes are left, or rounds no longer help,
-all of the remaining ones are verified, so no link between candidates is lost.
+Signatures are cut into bands; texts that share a band are candidates. Two bounds exclude pairs without
+loss: a pair's overlap is at most the smaller total weight, and at most the smaller weight of what a text
+shares with any other candidate (``common``, counted over all candidates). A text whose own bound falls
+short even for a partner of its size is weak; two weak texts are never similar. Of the other pairs, those
+whose signatures agree in less than ``LEAST_AGREE`` of ``SIGNATURE`` components (five and a half standard
+deviations below four fifths) are out, the rest is verified on the whole multisets (sum of minima to sum of
+maxima, ``SIMILAR`` or more).
+
+Links make classes. As long as the pairs of different classes in all buckets outnumber the texts
+``PAIRS_PER_TEXT`` times and rounds halve them, they are not listed: a round compares one pivot of each
+bucket, not a weak one, with its members in other classes, and buckets whose members have come into one
+class are done. What the bounds leave open then is verified pair by pair, so no link between candidates is
+lost.
 
 Equal texts are one node from the start. Defined cases: a null text is empty; texts without words are
 linked to equal texts only; a text of one to four words is one shingle; repeated rows are in one class;
@@ -34,8 +42,9 @@ SHINGLE = 5
 SIMILAR = (4, 5)  # four fifths
 BANDS, ROWS = 24, 5
 SIGNATURE = BANDS * ROWS
+LEAST_AGREE = 72
 MAX_ROUNDS = 12
-PAIRS_PER_MEMBER = 4
+PAIRS_PER_TEXT = 2
 
 U = np.uint64
 _SHORT = constants("short shingle", SHINGLE)
@@ -106,7 +115,13 @@ def _band_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         [mix64((signed[:, b * ROWS : (b + 1) * ROWS] * _BAND[b]).sum(axis=1) + U(b)) for b in range(BANDS)], axis=1
     )
     node = batch.column(0).take(pa.array(np.repeat(some, BANDS)))
-    return pa.RecordBatch.from_arrays([node, pa.array(buckets.ravel().view(np.int64))], names=["node", "bucket"])
+    first = np.arange(len(some) * BANDS) % BANDS > 0  # a text's first row carries its mark
+    marks = pa.array([x.tobytes() for x in signed.astype(np.uint8)], pa.binary())
+    marks = marks.take(pa.array(np.repeat(np.arange(len(some)), BANDS), mask=first))
+    total = np.bincount(text, weights=weight, minlength=n)[some].astype(np.int64)
+    total = pa.array(np.repeat(total, BANDS), mask=first)
+    arrays = [node, pa.array(buckets.ravel().view(np.int64)), marks, total]
+    return pa.RecordBatch.from_arrays(arrays, names=["node", "bucket", "mark", "total"])
 
 
 def similar(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -167,55 +182,118 @@ def verified(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return both.mapInArrow(per_batch(lambda: judge), f"x {NODE}, y {NODE}")
 
 
-def _split(members: DataFrame) -> DataFrame:
-    """Members of the buckets that hold more than one class."""
-    open_ = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    return members.join(open_.select("bucket"), "bucket", "left_semi")
+def likely(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs that signatures (their lowest bytes) leave open."""
 
+    def agree(batch: pa.RecordBatch) -> pa.RecordBatch:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8) for c in (2, 3))
+        same = (a == b).reshape(-1, SIGNATURE).sum(axis=1)
+        return batch.select(["x", "y"]).filter(pa.array(same >= LEAST_AGREE))
 
-def _relabelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    found = components(links.select("x", "y")).select(F.col("node").alias("label"), F.col("label").alias("new"))
-    return members.join(found, "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new")
+    left = marks.select(F.col("node").alias("x"), F.col("mark").alias("left"))
+    right = marks.select(F.col("node").alias("y"), F.col("mark").alias("right"))
+    both = pairs.join(left, "x").join(right, "y").select("x", "y", "left", "right")
+    return both.mapInArrow(per_batch(lambda: agree), f"x {NODE}, y {NODE}")
+
+
+def _shingle_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    text, value, weight, _ = shingles(batch.column(1))
+    arrays = [batch.column(0).take(pa.array(text)), pa.array(value.view(np.int64)), pa.array(weight)]
+    return pa.RecordBatch.from_arrays(arrays, names=["a", "shingle", "weight"])
+
+
+def _common(known: DataFrame) -> DataFrame:
+    """``a, common``: weight of the shingles that a text shares with another one of ``known``."""
+    rows = known.select("node.a", "text").mapInArrow(per_batch(lambda: _shingle_rows), "a long, shingle long, weight long")
+    rows = rows.repartition("shingle")  # one exchange serves both sides
+    held = rows.groupBy("shingle").agg(F.min("a").alias("lo"), F.max("a").alias("hi")).where("lo <> hi")
+    return rows.join(held.select("shingle"), "shingle", "left_semi").groupBy("a").agg(F.sum("weight").alias("common"))
+
+
+def _room() -> Column:
+    """Four times a partner's total weight may be up to this."""
+    return F.col("common") * (SIMILAR[0] + SIMILAR[1]) - SIMILAR[0] * F.col("total")
+
+
+def _strong() -> Column:
+    """There is room for a partner of the text's own weight."""
+    return SIMILAR[0] * F.col("total") <= F.col("room")
+
+
+def _open(members: DataFrame) -> DataFrame:
+    """Memberships that may still bring a new link: the bucket holds several classes and, for a weak text,
+    a strong one within its room."""
+    seen = members.groupBy("bucket").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.when(_strong(), F.col("total"))).alias("least")
+    )
+    seen = seen.where("lo <> hi and least is not null").select("bucket", "least")
+    return members.join(seen, "bucket").where(_strong() | (SIMILAR[0] * F.col("least") <= F.col("room"))).drop("least")
+
+
+def _asked(members: DataFrame, step: int | None) -> DataFrame:
+    """Pairs of different classes, with their labels: those of one pivot per bucket, or all (no ``step``)."""
+    columns = ("node", "label", "total", "room")
+    if step is None:
+        left, order = members.where(_strong()), (F.col("y.room") < SIMILAR[0] * F.col("y.total")) | (F.col("x.node") < F.col("y.node"))
+        left = left.select("bucket", F.struct(*columns).alias("x"))
+    else:
+        draw = F.struct(F.xxhash64("node", F.lit(step)), F.struct(*columns).alias("x"))
+        left, order = members.where(_strong()).groupBy("bucket").agg(F.min(draw).alias("d")), F.lit(True)
+        left = left.select("bucket", F.col("d.x").alias("x"))
+    right = members.select(F.col("bucket").alias("other"), F.struct(*columns).alias("y"))
+    four, five = SIMILAR
+    fits = (four * F.col("y.total") <= F.col("x.room")) & (four * F.col("x.total") <= F.col("y.room"))
+    fits &= five * F.least("x.total", "y.total") >= four * F.greatest("x.total", "y.total")
+    met = left.join(right, (F.col("bucket") == F.col("other")) & (F.col("x.label") != F.col("y.label")) & order & fits)
+    return met.select(
+        F.col("x.node").alias("x"), F.col("y.node").alias("y"), F.col("x.label").alias("lx"), F.col("y.label").alias("ly")
+    ).distinct()
+
+
+def _pairs(members: DataFrame) -> float:
+    """Pairs of different classes in all buckets, those of two weak texts left out."""
+    strong = F.sum(_strong().cast("long")).alias("s")
+    sizes = members.groupBy("bucket", "label").agg(strong, F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("w", F.col("n") - F.col("s")).groupBy("bucket")
+    sums = [F.sum("s").alias("s"), F.sum("w").alias("w")]
+    sizes = sizes.agg(*sums, F.sum(F.col("s") * F.col("s")).alias("ss"), F.sum(F.col("s") * F.col("w")).alias("sw"))
+    return sizes.agg(F.sum((F.col("s") * F.col("s") - F.col("ss")) / 2 + F.col("s") * F.col("w") - F.col("sw"))).first()[0] or 0
 
 
 def classes(rows: DataFrame) -> DataFrame:
-    """``node, label`` of every text that is linked to a different one."""
-    bands = pin(rows.select("node", "text").mapInArrow(per_batch(lambda: _band_rows), f"node {NODE}, bucket long"), "bands")
+    """``node, label`` of every text that shares a band with a different one."""
+    schema = f"node {NODE}, bucket long, mark binary, total long"
+    bands = pin(rows.select("node", "text").mapInArrow(per_batch(lambda: _band_rows), schema), "bands")
+    texts = bands.where("mark is not null")
     shared = bands.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    members = bands.join(shared.select("bucket"), "bucket", "left_semi").distinct()
-    members = pin(members.withColumn("label", F.col("node")), "members")
-    nodes = members.select("node").distinct()
+    shared = bands.select("bucket", "node").join(shared.select("bucket"), "bucket", "left_semi").distinct()
+    shared = pin(shared, "shared")
+    nodes = shared.select("node").distinct()
     # equal texts share a node, and one text of each node is enough
     known = rows.select("node", "text").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
     known = pin(known, "texts")
-    labels = pin(nodes.withColumn("label", F.col("node")), "classes")
-    every = False
+    marks = texts.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("mark").alias("mark"), F.first("total").alias("total"))
+    common = pin(_common(known), "common")
+    marks = marks.join(common, F.col("node.a") == F.col("a")).where(SIMILAR[1] * F.col("common") >= SIMILAR[0] * F.col("total"))
+    marks = pin(marks.select("node", "mark", "total", _room().alias("room")), "marks")
+    labels = pin(marks.select("node", F.col("node").alias("label")), "classes")
+    most, last = PAIRS_PER_TEXT * texts.count(), float("inf")
+    members = shared.join(marks.select("node", F.col("node").alias("label"), "total", "room"), "node")
     for step in range(MAX_ROUNDS + 1):
-        sizes = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-        sizes = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        total, pairs = sizes.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
-        if not total:
+        members = pin(_open(members), "members")
+        if not (pairs := _pairs(members)):
             break
-        every = step == MAX_ROUNDS or pairs <= PAIRS_PER_MEMBER * total
-        if every:
-            a, b = (members.select("bucket", F.col("node").alias(k), F.col("label").alias(f"l{k}")) for k in "xy")
-            asked = a.join(b, "bucket").where("x < y and lx <> ly").select("x", "y", "lx", "ly").distinct()
-        else:
-            draw = F.struct(F.xxhash64("node", F.lit(step)), "node", "label")
-            pivots = members.groupBy("bucket").agg(F.min(draw).alias("p"))
-            pivots = pivots.select("bucket", F.col("p.node").alias("x"), F.col("p.label").alias("lx"))
-            asked = members.join(pivots, "bucket").where("label <> lx")
-            asked = asked.select(F.least("x", "node").alias("x"), F.greatest("x", "node").alias("y"), "lx", "label")
-            asked = asked.select("x", "y").distinct()
-        links = pin(verified(asked.select("x", "y"), known), "links")
-        of = labels.select(F.col("node").alias("x"), F.col("label").alias("lx"))
-        to = labels.select(F.col("node").alias("y"), F.col("label").alias("ly"))
-        joined = links.join(of, "x").join(to, "y").select(F.col("lx").alias("x"), F.col("ly").alias("y"))
-        labels = pin(_relabelled(labels, joined), "classes")
+        every = step == MAX_ROUNDS or pairs <= most or pairs > last / 2
+        last = pairs
+        asked = pin(_asked(members, None if every else step), "asked")
+        found = pin(verified(likely(asked.select("x", "y"), marks), known), "links")
+        links = asked.join(found, ["x", "y"]).select(F.col("lx").alias("x"), F.col("ly").alias("y"))
+        merged = components(links).select(F.col("node").alias("label"), F.col("label").alias("new"))
+        labels = labels.join(merged, "label", "left").select("node", F.coalesce("new", "label").alias("label"))
+        labels = pin(labels, "classes")
         if every:
             break
-        members = members.select("bucket", "node").join(labels, "node")
-        members = pin(_split(members), "members")
+        members = members.drop("label").join(labels, "node")
     return labels
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from driftwell.llm.blocks import Words, constants, flat, mix64, window_hashes
 from driftwell.llm.table import per_batch
+from driftwell.session import pin
 
 COMMON = 0.0025
 LEAST_SHARE = 0.001
@@ -31,6 +32,9 @@ LEAST_WORDS = 10
 MOST_REPEATED_PCT = 20
 WINDOW = 5
 ALL = "*"
+BUCKET_BITS = 14
+BUCKETS = 1 << BUCKET_BITS
+HELD_LANGUAGES = 64
 
 # The classes of a character, by the first byte of its UTF-8 form.
 CLASSES = ("lower", "upper", "digit", "space", "mark", "sign", "two", "more")
@@ -117,64 +121,110 @@ def distance(counts: np.ndarray, reference: np.ndarray) -> np.ndarray:
     return np.where(counts.sum(axis=1) > 0, np.sqrt(np.maximum((left + right) / 2, 0)), 0.0)
 
 
-def _language_counts(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """``lang, cell, n`` of a batch: classes as '0'..'7' preceded by a blank, words as they are."""
+def _by_language(column: pa.Array) -> tuple[list[str], np.ndarray]:
+    names, of = np.unique(np.array([x or "" for x in column.to_pylist()], str), return_inverse=True)
+    return names.tolist(), of
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _bucket_counts(batches):
+    """``lang, bucket, n``: words by hash bucket and, after the buckets, character classes. Summed per task."""
+    held: dict[str, np.ndarray] = {}
+
+    def rows():
+        for lang, counts in held.items():
+            some = np.flatnonzero(counts)
+            arrays = [pa.array([lang] * len(some), pa.string()), pa.array(some, pa.int32()), pa.array(counts[some])]
+            yield pa.RecordBatch.from_arrays(arrays, names=["lang", "bucket", "n"])
+        held.clear()
+
+    for batch in batches:
+        texts = Texts(batch.column(0))
+        names, of = _by_language(batch.column(1))
+        words = np.bincount(of[texts.doc] * BUCKETS + _bucket(texts.hashes), minlength=len(names) * BUCKETS)
+        classes = texts.classes()
+        for k, lang in enumerate(names):
+            own = held.setdefault(lang, np.zeros(BUCKETS + len(CLASSES), np.int64))
+            own[:BUCKETS] += words[k * BUCKETS : (k + 1) * BUCKETS]
+            own[BUCKETS:] += classes[of == k].sum(axis=0)
+        if len(held) > HELD_LANGUAGES:
+            yield from rows()
+    yield from rows()
+
+
+def _word_counts(batch: pa.RecordBatch, heavy: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+    """``lang, cell, n``: the words of a batch that fall into heavy buckets of their language or of all."""
     texts = Texts(batch.column(0))
-    langs = np.array([x if x is not None else "" for x in batch.column(1).to_pylist()], object)
-    names, of = np.unique(langs.astype(str), return_inverse=True)
-    out_lang, out_cell, out_n = [], [], []
-    classes = texts.classes()
-    for k, name in enumerate(names):
-        sums = classes[of == k].sum(axis=0)
-        out_lang += [name] * 8
-        out_cell += [f" {c}" for c in range(8)]
-        out_n += sums.tolist()
-    keys = mix64(texts.hashes + of[texts.doc].astype(np.uint64) * _SALT)
+    names, of = _by_language(batch.column(1))
+    asked = np.zeros((len(names), BUCKETS), bool)
+    for k, lang in enumerate(names):
+        for name in (lang, ALL):
+            asked[k, heavy.get(name, [])] = True
+    own = of[texts.doc]
+    place = np.flatnonzero(asked[own, _bucket(texts.hashes)])
+    if not len(place):
+        return None
+    keys = mix64(texts.hashes[place] + own[place].astype(np.uint64) * _SALT)
     _, first, counts = np.unique(keys, return_index=True, return_counts=True)
-    raw, start, end = texts.data.tobytes(), texts.words.start, texts.words.end
-    out_lang += names[of[texts.doc[first]]].tolist()
-    out_cell += [raw[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
-    out_n += counts.tolist()
-    arrays = [pa.array(out_lang, pa.string()), pa.array(out_cell, pa.string()), pa.array(out_n, pa.int64())]
+    place = place[first]
+    start, end = texts.words.start[place].tolist(), texts.words.end[place].tolist()
+    cells = [texts.data[a:b].tobytes().decode() for a, b in zip(start, end, strict=True)]
+    arrays = [pa.array([names[i] for i in own[place]], pa.string()), pa.array(cells, pa.string()), pa.array(counts)]
     return pa.RecordBatch.from_arrays(arrays, names=["lang", "cell", "n"])
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """``lang, cell, n``: class counts and common words of each language, and of the whole corpus (``*``).
+def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, int], int]]:
+    """Class counts, common words and number of words of each language, and of the whole corpus (``*``).
 
-    Counted over all documents; partial counts are made per batch before the shuffle.
+    Exact, from two passes over all documents. The first sums words by hash bucket: a common word makes its
+    bucket at least as heavy, so there are at most ``1 / COMMON`` heavy buckets per language. The second
+    counts the words of heavy buckets one by one. What comes to the driver is bounded by ``COMMON`` and
+    ``LEAST_SHARE``.
     """
-    counted = docs.select("text", "lang").mapInArrow(per_batch(lambda: _language_counts), "lang string, cell string, n long")
-    cells = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n"))
-    is_word = ~F.col("cell").startswith(" ")
-    sizes = cells.where(is_word).groupBy("lang").agg(F.sum("n").alias("words"))
-    # one row per language; those with a reference of their own are bounded by LEAST_SHARE
-    total = sizes.agg(F.sum("words").alias("all_words"))
-    large = sizes.crossJoin(F.broadcast(total)).where(
-        (F.col("lang") != "") & (F.col("words") >= LEAST_SHARE * F.col("all_words"))
-    )
-    own = cells.join(F.broadcast(large), "lang").where(~is_word | (F.col("n") >= COMMON * F.col("words")))
-    pooled = cells.groupBy("cell").agg(F.sum("n").alias("n")).crossJoin(F.broadcast(total))
-    pooled = pooled.where(~is_word | (F.col("n") >= COMMON * F.col("all_words")))
-    return own.select("lang", "cell", "n", "words").unionByName(
-        pooled.select(F.lit(ALL).alias("lang"), "cell", "n", F.col("all_words").alias("words"))
+    rows = docs.select("text", "lang")
+    counted = pin(rows.mapInArrow(_bucket_counts, "lang string, bucket int, n long"), "buckets")
+    is_word = F.col("bucket") < BUCKETS
+    sizes = pin(counted.where(is_word).groupBy("lang").agg(F.sum("n").alias("words")), "sizes")
+    total = sizes.agg(F.sum("words")).first()[0] or 0
+    large = sizes.where((F.col("lang") != "") & (F.col("words") >= LEAST_SHARE * total))
+    pooled = counted.groupBy("bucket").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "bucket", "n")
+    own = counted.join(F.broadcast(large.select("lang")), "lang").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    words = F.broadcast(large.union(large.sparkSession.createDataFrame([(ALL, int(total))], "lang string, words long")))
+    cells = own.unionByName(pooled).join(words, "lang").where(~is_word | (F.col("n") >= COMMON * F.col("words")))
+    out: dict[str, tuple[np.ndarray, dict[str, int], int]] = {}
+    heavy: dict[str, list[int]] = {}
+    for r in cells.collect():
+        classes, _, _ = out.setdefault(r.lang, (np.zeros(len(CLASSES)), {}, r.words))
+        if r.bucket < BUCKETS:
+            heavy.setdefault(r.lang, []).append(r.bucket)
+        else:
+            classes[r.bucket - BUCKETS] = r.n
+    shared = docs.sparkSession.sparkContext.broadcast({k: np.array(sorted(v)) for k, v in heavy.items()})
+    spelled = rows.mapInArrow(
+        per_batch(lambda: lambda batch: _word_counts(batch, shared.value)), "lang string, cell string, n long"
     )
+    spelled = pin(spelled.groupBy("lang", "cell").agg(F.sum("n").alias("n")), "words")
+    pooled = spelled.groupBy("cell").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "cell", "n")
+    common = spelled.unionByName(pooled).join(words, "lang").where(F.col("n") >= COMMON * F.col("words"))
+    for r in common.collect():
+        out[r.lang][1][r.cell] = r.n
+    return out
 
 
 class Reference:
     """One language: class counts, the hashes of its common words in order, and their counts with the rest."""
 
-    def __init__(self, cells: list[tuple[str, int, int]]):
-        self.classes = np.zeros(8)
-        words = sorted((cell, n) for cell, n, _ in cells if not cell.startswith(" "))
-        for cell, n, _ in cells:
-            if cell.startswith(" "):
-                self.classes[int(cell)] = n
-        hashes = Texts(pa.array([w for w, _ in words], pa.string())).hashes
+    def __init__(self, classes: np.ndarray, common: dict[str, int], words: int):
+        self.classes = classes
+        names = sorted(common)
+        hashes = Texts(pa.array(names, pa.string())).hashes
         order = np.argsort(hashes)
         self.hashes = hashes[order]
-        counts = np.array([n for _, n in words], float)[order]
-        self.words = np.append(counts, max(cells[0][2] - counts.sum(), 0) if cells else 0)
+        counts = np.array([common[w] for w in names], float)[order]
+        self.words = np.append(counts, words - counts.sum())
 
     def histogram(self, hashes: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
         k = len(self.hashes)
@@ -194,14 +244,11 @@ RULES = (
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Base counts and verdict for every document; distances are rounded to 4 places, null where the
     document is too short for them."""
-    cells: dict[str, list] = {}
-    for r in references(docs).collect():  # bounded by COMMON and LEAST_SHARE
-        cells.setdefault(r.lang, []).append((r.cell, r.n, r.words))
-    shared = docs.sparkSession.sparkContext.broadcast(cells)
+    shared = docs.sparkSession.sparkContext.broadcast(references(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def make():
-        found = {lang: Reference(sorted(c)) for lang, c in shared.value.items()}
+        found = {lang: Reference(*r) for lang, r in shared.value.items()}
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             t = Texts(batch.column(1))

@@ -23,7 +23,7 @@ from driftwell.session import pin
 
 ROW_BYTES = 16
 CELLS = 256
-SPLIT = 4
+SPLIT = 1
 
 
 def place(vectors: np.ndarray, shards: int) -> np.ndarray:

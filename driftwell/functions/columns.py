@@ -138,13 +138,25 @@ def detect_datetime_columns(df: DataFrame, share: float = 0.8) -> DataFrame:
     return table.withColumn("is_datetime", F.col("parse_frac") > share)
 
 
-def by_column(columns: Sequence[str], job: Callable[[str], DataFrame]) -> DataFrame:
-    """Union of one small job per column.
+def melted(
+    df: DataFrame,
+    columns: Sequence[str],
+    value: Callable[[str], Column],
+    keep: Sequence[str] = (),
+    name: str = "feature",
+) -> DataFrame:
+    """``(keep..., name, v)``: one row per row and column, from one scan of all of them.
 
-    For work that shuffles by value: every branch reads its own column of a
-    columnar scan, so together they read each column once, and they run side by side.
+    For work that shuffles by value: partial counts per task come before the shuffle.
     """
-    return reduce(DataFrame.unionByName, [job(c) for c in columns])
+    cells = F.array(*[F.struct(F.lit(c).alias(name), value(c).alias("v")) for c in columns])
+    return df.select(*keep, F.inline(cells))
+
+
+def as_text(column: str, kind: str) -> Column:
+    """A value as text, equal texts for equal values (0.0 and -0.0 are equal)."""
+    c = F.col(column)
+    return (c + F.lit(0.0) if kind in ("double", "float") else c).cast("string")
 
 
 def to_digits(x: Column, digits: int) -> Column:

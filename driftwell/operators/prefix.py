@@ -1,14 +1,15 @@
 """Global order without a single partition.
 
 A window with no partition key pulls the whole table into one task. Everything
-here first gives each row a coarse bucket that is a *pure function of its order
-key*, adds up the buckets, and only then sorts inside buckets. Since the bucket
-does not depend on how rows are laid out, a lost and recomputed task gives the
-same answer.
+here first gives each row a coarse bucket along the order, adds up the buckets,
+and only then sorts inside buckets. Buckets are a pure function of the order
+key, or written down once with the rows, so a lost and recomputed task gives
+the same answer. Their number follows the number of rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
@@ -18,15 +19,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftwell.functions.columns import by_column, to_number
+from driftwell.functions.columns import to_number
+from driftwell.session import pin
 
-BUCKETS = 128
-SMALL_ROWS = 1_000_000
+ROWS_PER_BUCKET = 500_000
+LEAST_BUCKETS = 16
 HASH_PREFIX = 3
-NARROW_STOP = 20_000
 ACCURACY = 2  # rank error of split points: half a bucket
 
 
+def bucket_count(df: DataFrame) -> int:
+    """Buckets of ``ROWS_PER_BUCKET`` rows, and at least one for each task of a shuffle."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_BUCKETS, tasks, math.ceil(df.count() / ROWS_PER_BUCKET))
+
+
 def order_value(df: DataFrame, column: str) -> Column:
     """A double that never decreases along the order of ``column``."""
     kind = df.schema[column].dataType
@@ -56,8 +63,9 @@ def points_by_column(df: DataFrame, columns: Sequence[str], buckets: int) -> dic
     return {c: sorted(row[c] or []) for c in columns}
 
 
-def column_points(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> list[float]:
+def column_points(df: DataFrame, columns: Sequence[str], buckets: int | None = None) -> list[float]:
     """One list of split points that serves several columns together."""
+    buckets = buckets or bucket_count(df)
     found = points_by_column(df, columns, max(8, buckets // max(len(columns), 1)))
     return sorted({p for points in found.values() for p in points})
 
@@ -77,7 +85,7 @@ def running_total(
     order_by: str,
     sums: Mapping[str, str],
     by: Sequence[str] = (),
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     points: Sequence[float] | None = None,
 ) -> DataFrame:
     """Inclusive running sums of ``sums`` (new name -> column) along ``order_by``.
@@ -88,7 +96,7 @@ def running_total(
     """
     by = list(by)
     keyed = df.withColumn("_o", order_value(df, order_by))
-    keyed = add_bucket(keyed, "_o", split_points(keyed, "_o", buckets) if points is None else points)
+    keyed = add_bucket(keyed, "_o", split_points(keyed, "_o", buckets or bucket_count(df)) if points is None else points)
     totals = keyed.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -129,39 +137,30 @@ def global_row_number(
     tie: Sequence[str],
     by: Sequence[str] = (),
     out: str = "row_number",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """1-based position along ``(order_by, md5(tie))``, within ``by`` if given.
 
-    A heavy order value is cut further by the prefix of its tie hash, so one
-    value holding a third of all rows still spreads over many tasks. ``tie``
-    has to identify a row.
+    Rows are cut into ranges of the whole sort key, of whatever types, so a value
+    that holds a third of all rows is cut by its tie hash. The ranges are written
+    once with the number of their task; totals of the ranges give the first
+    position of each. ``tie`` has to identify a row. Nulls come first.
     """
     by = list(by)
-    keyed = df.withColumns({"_o": order_value(df, order_by), "_h": row_hash("", tie)})
-    points = split_points(keyed, "_o", buckets)
-    heavy = {p: points.count(p) + 1 for p in set(points) if points.count(p) > 1}
-    keyed = add_bucket(keyed, "_o", points)
-    if heavy:
-        parts = F.try_element_at(F.create_map(*[F.lit(x) for kv in heavy.items() for x in kv]), F.col("_o"))
-        share = F.conv(F.substring("_h", 1, 4), 16, 10).cast("double") / 65536.0
-        # rows of the bucket that lie above its heavy lower edge come after it
-        cut = F.when(parts.isNotNull(), F.floor(share * parts)).otherwise(F.lit(buckets * 2))
-        keyed = keyed.withColumn("_c", cut.cast("int"))
-    else:
-        keyed = keyed.withColumn("_c", F.lit(0))
-    totals = keyed.groupBy(*by, "_b", "_c").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*by).orderBy("_b", "_c").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, "_b", "_c", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))
-    offsets = keyed_by(offsets, [*by, "_b", "_c"], drop=True)
-    if not by:  # bounded by the number of buckets and cuts
-        offsets = F.broadcast(offsets)
+    order = list(dict.fromkeys([*by, order_by, "_h", *tie]))
+    keyed = df.withColumn("_h", row_hash("", tie))
+    cut = keyed.repartitionByRange(buckets or bucket_count(df), *order)
+    keyed = pin(cut.withColumn("_b", F.spark_partition_id()), "ordered")
+    totals = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_s"))
+    offsets = keyed_by(offsets, [*by, "_b"], drop=True)
     inside = Window.partitionBy("_k").orderBy(F.col(order_by), F.col("_h"), *tie)
     return (
-        keyed_by(keyed, [*by, "_b", "_c"])
+        keyed_by(keyed, [*by, "_b"])
         .join(offsets, "_k")
         .withColumn(out, F.row_number().over(inside) + F.col("_s"))
-        .drop("_o", "_h", "_b", "_c", "_s", "_k")
+        .drop("_h", "_b", "_s", "_k")
     )
 
 
@@ -170,7 +169,8 @@ def hash_rank(
 ) -> DataFrame:
     """1-based rank of each row in md5 order within ``by``; buckets are hash prefixes."""
     by = list(by)
-    keyed = df.withColumn("_h", row_hash(seed, keys)).withColumn("_b", F.substring("_h", 1, HASH_PREFIX))
+    digits = max(HASH_PREFIX, math.ceil(math.log(bucket_count(df), 16)))
+    keyed = df.withColumn("_h", row_hash(seed, keys)).withColumn("_b", F.substring("_h", 1, digits))
     totals = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -180,8 +180,6 @@ def hash_rank(
         F.sum("_n").over(Window.partitionBy(*by)).alias(f"{out}_of"),
     )
     offsets = keyed_by(offsets, [*by, "_b"], drop=True)
-    if not by:  # at most 16**HASH_PREFIX rows
-        offsets = F.broadcast(offsets)
     inside = Window.partitionBy("_k").orderBy("_h", *keys)
     return (
         keyed_by(keyed, [*by, "_b"])
@@ -197,60 +195,50 @@ def turned(turn: int, h: str = "_h") -> Column:
     return F.concat(F.substring(h, cut + 1, 32), F.substring(h, 1, cut)) if cut else F.col(h)
 
 
-def hash_cuts(df: DataFrame, sizes: Sequence[float | int], stop: int = NARROW_STOP) -> list[Column]:
+def hash_cuts(df: DataFrame, sizes: Sequence[float | int]) -> list[Column]:
     """One predicate per wanted size, each true for exactly that many rows of a frame with ``_h``.
 
     A size below 1 is a share of all rows (at least one row), else a row count.
     Predicate ``i`` takes the smallest rows in the order of the hash turned by
-    ``i``. The prefix is narrowed until few rows are left where the last rank
-    falls; rows are counted, never moved, and the result is a comparison with a
-    literal. ``_h`` is a :func:`row_hash` of keys that identify a row.
+    ``i``. Each pass counts the next digits behind the prefix where the wanted
+    rank lies, until the rank is the last one of a prefix. Rows are counted,
+    never moved, and the result is a comparison with a literal. ``_h`` is a
+    :func:`row_hash` of keys that identify a row.
     """
     orders = range(len(sizes))
-    hashed = df.select(F.posexplode(F.array(*[turned(i) for i in orders])).alias("i", "h"))
-    starts = F.array(*[F.substring(turned(i), 1, HASH_PREFIX) for i in orders])
-    first = df.select(F.posexplode(starts).alias("i", "p"))
+    prefix = dict.fromkeys(orders, "")
+    skipped = dict.fromkeys(orders, 0)
     goal: dict[int, int] = {}
-    prefix = dict.fromkeys(range(len(sizes)), "")
-    skipped = dict.fromkeys(range(len(sizes)), 0)
     bound: dict[int, str] = {}
-    active = set(range(len(sizes)))
+    active = set(orders)
     while active:
         width = len(prefix[min(active)]) + HASH_PREFIX
         # at most sizes x 16**HASH_PREFIX rows
-        part = _inside(hashed, prefix, active).select("i", F.substring("h", 1, width).alias("p")) if goal else first
-        counted = part.groupBy("i", "p").count().collect()
+        counted = _next_digits(df, prefix, active, width).groupBy("i", "p").count().collect()
         if not goal:
             rows = sum(r["count"] for r in counted if r["i"] == 0)
             goal = {i: (max(1, int(s * rows)) if 0 < s < 1 else int(s)) for i, s in enumerate(sizes)}
-        small = set()
         for i in sorted(active):
-            if goal[i] <= 0:
-                bound[i] = ""
-                active.discard(i)
-                continue
-            for _, p, n in sorted(r for r in map(tuple, counted) if r[0] == i):
+            bound[i] = "g" if goal[i] > 0 else ""  # beyond every hex digit: all rows
+            last = True
+            for p, n in sorted((r["p"], r["count"]) for r in counted if r["i"] == i and goal[i] > 0):
                 if skipped[i] + n >= goal[i]:
-                    prefix[i] = p
-                    if n <= stop or width >= 30:
-                        small.add(i)
+                    last = skipped[i] + n == goal[i] or width >= 32
+                    prefix[i], bound[i] = p, p + "g"
                     break
                 skipped[i] += n
-            else:
-                bound[i] = "g"  # beyond every hex digit: all rows
+            if last:
                 active.discard(i)
-        if small:
-            left = _inside(hashed, prefix, small).collect()  # at most sizes x stop rows
-            for i in small:
-                ranked = sorted(h for j, h in map(tuple, left) if j == i)
-                bound[i] = ranked[goal[i] - skipped[i] - 1]
-            active -= small
-    return [turned(i) <= F.lit(bound[i]) for i in range(len(sizes))]
+    return [turned(i) <= F.lit(bound[i]) for i in orders]
 
 
-def _inside(hashed: DataFrame, prefix: Mapping[int, str], which: set[int]) -> DataFrame:
-    tests = [(F.col("i") == i) & F.col("h").startswith(prefix[i]) for i in sorted(which)]
-    return hashed.where(reduce(or_, tests))
+def _next_digits(df: DataFrame, prefix: Mapping[int, str], which: set[int], width: int) -> DataFrame:
+    """``i, p``: the first digits of each turned hash that goes on a prefix."""
+    starts = [
+        F.when(turned(i).startswith(prefix[i]), F.struct(F.lit(i).alias("i"), F.substring(turned(i), 1, width).alias("p")))
+        for i in sorted(which)
+    ]
+    return df.select(F.inline(F.filter(F.array(*starts), lambda x: x.isNotNull())))
 
 
 def exact_quantiles(
@@ -258,27 +246,22 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    small_rows: int = SMALL_ROWS,
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
+    points: Sequence[float] | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per ``(by, prob)``.
 
     The built-in exact percentile keeps every distinct value of a group in one
-    buffer. It is used only when the counted input is small; beyond that ranks
-    are located by bucket totals and only the buckets that hold a wanted rank
-    are sorted.
+    buffer. Here ranks are located by bucket totals, and only the buckets that
+    hold a wanted rank are counted value by value.
     """
     by = list(by)
     base = df.select(*by, F.col(value).cast("double").alias("_v")).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     wanted = F.array(*[F.lit(float(p)) for p in probs])
-    if base.count() <= small_rows:
-        got = base.groupBy(*by).agg(F.percentile("_v", wanted).alias("_q"))
-        pairs = F.arrays_zip(wanted.alias("prob"), F.col("_q").alias("value"))
-        return got.select(*by, F.inline(pairs).alias("prob", "value"))
-
-    keyed = add_bucket(base, "_v", split_points(base, "_v", buckets))
+    points = split_points(base, "_v", buckets or bucket_count(base)) if points is None else points
+    keyed = add_bucket(base, "_v", points)
     totals = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
     whole = Window.partitionBy(*by)
     before = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -310,16 +293,14 @@ def exact_quantiles(
 
 
 def exact_quantiles_of_columns(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Quantile lists per column, brought to the driver (columns x probs numbers)."""
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
+    """Quantile lists per column, brought to the driver (columns x probs numbers).
+
+    All columns together: one scan for the split points, and one job on (column, value) rows.
+    """
     wide = df.select(*[to_number(c).alias(c) for c in columns])
-    if wide.count() <= small_rows:
-        one = lambda c: wide.agg(F.lit(c).alias("c"), F.percentile(c, wanted).alias("q"))
-        return {r["c"]: list(r["q"] or [None] * len(probs)) for r in by_column(columns, one).collect()}
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        found = {r["prob"]: r["value"] for r in exact_quantiles(wide, c, probs, (), small_rows).collect()}
-        out[c] = [found.get(float(p)) for p in probs]
-    return out
+    long = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns])))
+    got = exact_quantiles(long, "value", probs, ["column"], points=column_points(wide, columns)).collect()
+    found = {(r["column"], r["prob"]): r["value"] for r in got}
+    return {c: [found.get((c, float(p))) for p in probs] for c in columns}

@@ -55,7 +55,8 @@ def integrity_gate(ref: DataFrame, batch: DataFrame, cfg: MonitorConfig) -> tupl
         alerts = drift.drifted_columns(drift.chunk_drift(ref, batch, cfg.order_by, cfg.keys, columns))
         drifted = [(r["feature"], r["warning"]) for r in alerts.where("drifted").orderBy("feature").collect()]
     else:
-        alerts, drifted = drift.fallback_drift(ref, batch), []
+        alerts = drift.fallback_drift(ref, batch)
+        drifted = [(r["column"], r["warning"]) for r in alerts.orderBy("column", "kind").collect()]
     tables = {
         "missingness": profile.missingness(batch),
         "duplicates": profile.duplicate_rows(batch),
@@ -72,7 +73,7 @@ def integrity_gate(ref: DataFrame, batch: DataFrame, cfg: MonitorConfig) -> tupl
         "hard_rules_passed": passed,
         "hard_failures": list(gate["hard_failures"]),
         "drift_warnings": [w for _, w in drifted],
-        "drift_columns": [c for c, _ in drifted],
+        "drift_columns": list(dict.fromkeys(c for c, _ in drifted)),
         "additional_checks_summary": check_summary(batch, tables),
         "integrity_passed": passed,
         "integrity_warn": bool(drifted),

@@ -148,8 +148,9 @@ def fallback_drift(spark, d):
 _KS = ["trip_distance", "fare_amount", "tip_amount", "total_amount", "passenger_count", "PULocationID"]
 
 
-def _long_sql(source: str, extra: str = "") -> str:
-    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {extra}{c}::DOUBLE AS v FROM {source} WHERE {c} IS NOT NULL" for c in _KS)
+def _long_sql(source: str, extra: str = "", columns=_KS, present: bool = True) -> str:
+    kept = " WHERE {0} IS NOT NULL" if present else ""
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, {extra}{c}::DOUBLE AS v FROM {source}{kept.format(c)}" for c in columns)
 
 
 @query(
@@ -204,10 +205,24 @@ def chi2_by_chunk(spark, d):
     return D.chi2_by_chunk(ref, chunked, ["store_and_fwd_flag"]).withColumn("chi2", F.round("chi2", 6))
 
 
+def _usable_sql(source: str) -> str:
+    cells = _long_sql(source, columns=D.MONITORED_COLUMNS, present=False)
+    return f"SELECT feature FROM ({cells}) GROUP BY feature HAVING count(v) / count(*) >= 0.05 AND min(v) < max(v)"
+
+
 @query(
     "drifted_columns",
     "A21",
-    None,
+    f"WITH {SLICES_SQL}, ch AS (SELECT *, ((row_number() OVER (ORDER BY lpep_dropoff_datetime, md5('|' || trip_id), trip_id) - 1) // greatest(100, least(count(*) OVER (), 1000)))::BIGINT AS chunk FROM cur), "
+    f"us AS ({_usable_sql('ref')} INTERSECT {_usable_sql('cur')}), "
+    f"rv AS (SELECT feature, v, count(*) AS r FROM ({_long_sql('ref', columns=D.MONITORED_COLUMNS)}) GROUP BY 1, 2), "
+    f"cv AS (SELECT feature, chunk, v, count(*) AS c FROM ({_long_sql('ch', 'chunk, ', D.MONITORED_COLUMNS)}) GROUP BY 1, 2, 3), "
+    "pts AS (SELECT feature, v, sum(r) AS r FROM (SELECT * FROM rv UNION ALL SELECT DISTINCT feature, v, 0 FROM cv) WHERE feature IN (SELECT feature FROM us) GROUP BY 1, 2), "
+    "lv AS (SELECT feature, v, sum(r) OVER (PARTITION BY feature ORDER BY v) AS cum, r, sum(r) OVER (PARTITION BY feature) AS n FROM pts), "
+    "st AS (SELECT feature, chunk, c, cum, r, n, sum(c) OVER (PARTITION BY feature, chunk ORDER BY v) AS upto, sum(c) OVER (PARTITION BY feature, chunk) AS m FROM cv JOIN lv USING (feature, v)), "
+    "ks AS (SELECT feature, chunk, max(greatest(abs(upto / m - cum / n), abs((upto - c) / m - (cum - r) / n))) > 1.358::DOUBLE * sqrt((max(n) + max(m)) / (max(n) * max(m))::DOUBLE) AS alert FROM st GROUP BY feature, chunk), "
+    "al AS (SELECT feature, count(*) AS chunks, count(*) FILTER (WHERE alert) AS alerts FROM ks GROUP BY feature) "
+    "SELECT feature, chunks, alerts, alerts > 0 AS drifted, CASE WHEN alerts > 0 THEN printf('Column ''%s'': univariate drift detected', feature) END AS warning FROM al",
 )
 def drifted_columns(spark, d):
     """Whole monitor: usable columns, chunk alerts, and one row per feature."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from driftwell.operators import metrics as M
@@ -57,7 +59,11 @@ def decision_lines(spark, d):
 
 
 def decision_log(spark, d):
-    return slices.parse_decisions(decision_lines(spark, d)).where("not skipped").drop("skipped")
+    """The log is written once, as a log is, and read back by its reader."""
+    path = f"{shared_dir(spark).rstrip('/')}/decisions-{uuid.uuid4().hex}"
+    decision_lines(spark, d).write.json(path)
+    lines = spark.read.schema("run_id string, value string").json(path)
+    return slices.parse_decisions(lines).where("not skipped").drop("skipped")
 
 
 _DRIFT = ", ".join(f"CASE WHEN {e} > {v} THEN '{c}' END" for c, (e, v) in WATCHED.items())

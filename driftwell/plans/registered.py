@@ -7,6 +7,7 @@ from driftwell.plans import (  # noqa: F401
     q_models,
     q_profile,
     q_reports,
+    q_sources,
     q_streaming,
     q_ticks,
 )

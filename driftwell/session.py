@@ -39,7 +39,8 @@ def shared_dir(spark: SparkSession) -> str:
     path = spark.conf.get(CHECKPOINT_CONF, None)
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     path = tempfile.mkdtemp(prefix="driftwell-")
     spark.conf.set(CHECKPOINT_CONF, path)

@@ -27,9 +27,14 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.parquet(path)
 
 
-def tick_counts(stream: DataFrame, zone: str, ts: str, minutes: int = 15, late: str = "0 minutes") -> DataFrame:
-    """Event-time tumbling counts per zone; state is one number per open (zone, tick)."""
-    timed = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
+def tick_counts(stream: DataFrame, zone: str, ts: str, minutes: int = 15, late: str | None = None) -> DataFrame:
+    """Event-time tumbling counts per zone; state is one number per open (zone, tick).
+
+    Without ``late`` no row is ever too late: for update mode, with every window kept open. With it, rows that
+    come more than ``late`` after a newer one are dropped, and :func:`dropped_rows` tells how many.
+    """
+    timed = stream.withColumn("_ts", F.col(ts).cast("timestamp"))
+    timed = timed.withWatermark("_ts", late) if late else timed
     counts = timed.groupBy(F.window("_ts", f"{minutes} minutes"), F.col(zone).alias("zone_id")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -41,11 +46,19 @@ def score_stream(counts: DataFrame, base: DataFrame, factor: float = 1.5) -> Dat
     return score(counts, base, factor).select("zone_id", "tick", "n", "mean_n", "decision")
 
 
-def drop_repeats(reports: DataFrame, late: str = "1 hour") -> DataFrame:
-    """First report per (zone, tick) within the watermark; repeats vanish uncounted."""
+def drop_repeats(reports: DataFrame, late: str | None = None) -> DataFrame:
+    """First report per (zone, tick); repeats vanish uncounted. With ``late`` the memory is that long, and
+    older rows are dropped; without it nothing is lost and every key is kept."""
+    if late is None:
+        return reports.dropDuplicates(["zone_id", "tick"])
     return reports.withWatermark("arrival", late).dropDuplicatesWithinWatermark(["zone_id", "tick"])
 
 
+def dropped_rows(run: StreamingQuery) -> int:
+    """Rows of a finished run that came too late for their state."""
+    return sum(s.get("numRowsDroppedByWatermark", 0) for p in run.recentProgress for s in p["stateOperators"])
+
+
 # ---- state per zone ---------------------------------------------------------
 
 
@@ -56,21 +69,19 @@ class ZoneState(StatefulProcessor):
     whatever the delivery order, as long as the tick is open; the others are
     duplicates, and a report that arrives after the close is late. Both are put
     out once, so they can be counted, and change nothing. A tick without a
-    report falls back on the last outcome. State is the open ticks, the last
-    ``history`` outcomes and five numbers, so it does not grow with the stream.
+    report falls back on the last outcome. State is the open ticks and five values,
+    the last outcome among them, so it does not grow with the stream.
     Rows are taken block by block; one timer per zone closes all ticks that are due.
     """
 
-    def __init__(self, cfg: TickConfig, history: int = 96) -> None:
+    def __init__(self, cfg: TickConfig) -> None:
         self.timeout_us = int(cfg.tick_timeout_s * 1_000_000)
         self.first_use = cfg.first_use
-        self.history = history
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "decision string, closed_us bigint, late bigint, duplicates bigint, fallbacks bigint")
         self.open = handle.getMapState("open", "tick_us bigint", "decision string, arrival_us bigint, seq bigint")
-        self.accepted = handle.getMapState("accepted", "tick_us bigint", "decision string")
 
     def _load(self) -> list:
         return list(self.last.get()) if self.last.exists() else [None, -1, 0, 0, 0]
@@ -140,11 +151,6 @@ class ZoneState(StatefulProcessor):
             self.open.clear()
             for tick_us, value in pending.items():
                 self.open.updateValue((tick_us,), value)
-        for row in out[-self.history :]:
-            self.accepted.updateValue((row["tick"],), (row["decision"],))
-        kept = sorted(t[0] for t in self.accepted.keys())
-        for tick_us in kept[: max(0, len(kept) - self.history)]:
-            self.accepted.removeKey((tick_us,))
         self.last.update(tuple(state))
         self._schedule(pending, timerValues.getCurrentWatermarkInMs())
         columns = ["tick", "arrival", "seq", "decision", "used_fallback"]
@@ -169,16 +175,17 @@ class ZoneState(StatefulProcessor):
         pass
 
 
-def zone_outcomes(stream: DataFrame, cfg: TickConfig = TickConfig(), history: int = 96, late: str = "0 seconds") -> DataFrame:
+def zone_outcomes(stream: DataFrame, late: str, cfg: TickConfig = TickConfig()) -> DataFrame:
     """Outcomes and ignored reports of a stream of ``kind`` = tick markers and reports.
 
-    Needs the RocksDB state store. Zones are independent, so the work spreads by zone.
+    ``late`` is how long after a newer row a row may still come; what comes later is dropped and counted
+    (:func:`dropped_rows`). Needs the RocksDB state store. Zones are independent, so the work spreads by zone.
     """
     return (
         stream.withWatermark("arrival", late)
         .groupBy("zone_id")
         .transformWithStateInPandas(
-            statefulProcessor=ZoneState(cfg, history), outputStructType=OUTCOME_FIELDS, outputMode="Append", timeMode="EventTime"
+            statefulProcessor=ZoneState(cfg), outputStructType=OUTCOME_FIELDS, outputMode="Append", timeMode="EventTime"
         )
     )
 

@@ -140,7 +140,7 @@ def test_stream_equals_batch_on_closed_ticks(spark, folder, files):
         part = feed.withColumn("k", F.floor(F.minute("tick") / 15) + 4 * (F.hour("tick"))).where(F.col("k") % files == i if files == 1 else F.floor(F.col("k") * files / 6) == i)
         part.drop("k").coalesce(1).write.mode("append").parquet(f"{folder}/in")
     stream = S.read_stream(spark, f"{folder}/in", S.REPORT_FIELDS, files_per_batch=1)
-    S.run_to_sink(S.zone_outcomes(stream, cfg), f"{folder}/out", f"{folder}/check")
+    S.run_to_sink(S.zone_outcomes(stream, "0 seconds", cfg), f"{folder}/out", f"{folder}/check")
     out = spark.read.parquet(f"{folder}/out")
     first = T.first_reports(reports)
     batch = T.accepted_decisions(grid, first, T.tick_close(first, 3, cfg), cfg)
@@ -151,6 +151,25 @@ def test_stream_equals_batch_on_closed_ticks(spark, folder, files):
     assert sorted((r["kind"], r["seq"]) for r in out.where("kind <> 'accepted'").collect()) == [("duplicate", 2), ("duplicate", 6), ("late", 3), ("late", 5)]
 
 
+def test_files_out_of_order_lose_nothing(spark, folder):
+    """Newer files first, one file per batch: equal totals with and without batches."""
+    for day in (9, 3, 6, 1):
+        rows = spark.range(50).selectExpr(f"timestamp_seconds(1700000000 + {day} * 86400 + id * 60) as ts", "'z' as zone", "id")
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/late")
+    schema = "ts timestamp, zone string, id bigint"
+    totals = set()
+    for files in (1, None):
+        out = f"{folder}/late-out-{files}"
+        stream = S.read_stream(spark, f"{folder}/late", schema, files)
+        run = S.run_to_sink(S.tick_counts(stream, "zone", "ts"), out, f"{out}-check", "update")
+        totals.add(S.read_keyed(spark, out, ["zone_id", "tick"]).agg(F.sum("n")).first()[0])
+        assert S.dropped_rows(run) == 0
+    assert totals == {200}
+    stream = S.read_stream(spark, f"{folder}/late", schema, 1)
+    run = S.run_to_sink(S.tick_counts(stream, "zone", "ts", late="1 hour"), f"{folder}/strict", f"{folder}/strict-check")
+    assert S.dropped_rows(run) > 0
+
+
 def test_keyed_sink_is_idempotent(spark, folder):
     write = S.keyed_sink(f"{folder}/out")
     a = spark.createDataFrame([("z", 1, 5)], "zone_id string, tick int, n int")

@@ -218,7 +218,7 @@ def in_id_order(docs: DataFrame) -> DataFrame:
     n = int(min(MAX_BUCKETS, max(1, rows // ROWS_PER_BUCKET, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     shares = F.lit([i / n for i in range(1, n)] or [0.5])
     points = keyed.where(F.col("doc_id").isNotNull()).agg(F.percentile_approx("o", shares, 20 * n)).first()[0] or []
-    splits = [float("-inf"), *sorted(set(points)), float("inf")]
+    splits = [float("-inf"), *(sorted(set(points)) or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="o", outputCol="bucket").transform(keyed)
     bucketed = bucketed.withColumn("bucket", F.col("bucket").cast("int")).drop("o")
     heads = sorted(map(tuple, bucketed.groupBy("bucket").agg(F.max("doc_id")).collect()))  # one row per bucket

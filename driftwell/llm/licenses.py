@@ -46,7 +46,7 @@ SENTENCES = {
     "bsd_binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and"
     " the following disclaimer in the documentation and/or other materials provided with the distribution.",
     "gpl3_notice": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl_grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU"
+    "gpl_grant": "you can redistribute it and/or modify it under the terms of the GNU"
     " General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your"
     " option) any later version.",
     "gpl_warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without"

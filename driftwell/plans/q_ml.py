@@ -21,11 +21,10 @@ from driftwell.plans.store import ModelStore
 from driftwell.session import pin, shared_dir
 
 SMALL = L.Boost(trees=4, depth=4, rate=0.3)
-POINTS = ["trip_distance", "fare_amount", "passenger_count"]
 
 
 def _tips(spark, d):
-    """Card tips with their features, one random quarter as test rows."""
+    """Card tips with their features."""
     df, features = tip_frame(trips(spark, d))
     return df, features
 
@@ -90,8 +89,8 @@ def svc_grid(spark, d):
 def compare_regressors(spark, d):
     df, features = _tips(spark, d)
     df = df.withColumn("row_key", F.xxhash64(*df.columns))
-    parts = random_split(df.dropna(), ["row_key"], 0.25, 0)
-    return L.compare_regressors(parts.where("part = 'train'"), parts.where("part = 'test'"), POINTS, "y")
+    parts = random_split(df, ["row_key"], 0.25, 0)
+    return L.compare_regressors(parts.where("part = 'train'"), parts.where("part = 'test'"), features, "y")
 
 
 @query("principal_components", "M7 P25")

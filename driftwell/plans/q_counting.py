@@ -280,8 +280,7 @@ def words_by_bucket(spark, d):
     "SELECT s.chunk_id, s.num_docs, coalesce(t.num_tokens, 0) AS num_tokens, t.top_words FROM (SELECT chunk_id, count(*) AS num_docs FROM ch GROUP BY 1) s LEFT JOIN t USING (chunk_id)",
 )
 def words_per_chunk(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    return K.chunk_stats(K.with_chunk_id(docs, "doc_id", 3), "chunk_id")
+    return K.chunk_stats_in_order(table(spark, d, "documents"), "doc_id", 3)
 
 
 @query("top_words", "W2", f"WITH {WORDS_SQL} SELECT word, count(*) AS n FROM words GROUP BY word ORDER BY n DESC, word LIMIT 20")

@@ -13,7 +13,8 @@ from driftwell.operators import metrics as M
 from driftwell.operators import models as L
 from driftwell.operators import ticks as T
 from driftwell.operators.profile import GateRules
-from driftwell.plans.monitoring import MonitorConfig, run_monitoring
+from driftwell.operators.drift import MONITORED_COLUMNS
+from driftwell.plans.monitoring import MonitorConfig, integrity_gate, run_monitoring
 from driftwell.plans.roles import both_slices
 from driftwell.plans.store import ModelStore
 from driftwell.session import pin, shared_dir
@@ -247,6 +248,16 @@ def test_monitoring_stops_at_the_gate(spark, data_dir, folder):
     assert len(log) == 1 and not log[0]["integrity_passed"] and log[0]["num_hard_failures"] > 0
 
 
+def test_fallback_warnings_reach_the_decision(spark, data_dir):
+    """No column can be monitored by chunk: unseen categories still warn."""
+    ref, cur = both_slices(spark, data_dir)
+    flat = {c: F.lit(1.0) for c in MONITORED_COLUMNS}
+    odd = cur.withColumns(flat).withColumn("store_and_fwd_flag", F.lit("Q"))
+    decision, _ = integrity_gate(ref.withColumns(flat), odd, config())
+    assert decision["integrity_warn"] and "store_and_fwd_flag" in decision["drift_columns"]
+    assert len(decision["drift_warnings"]) >= 1
+
+
 def test_monitoring_promotes_and_then_keeps(spark, data_dir, folder):
     ref, cur = both_slices(spark, data_dir)
     store = ModelStore(spark, f"{folder}/store-{uuid.uuid4().hex}")

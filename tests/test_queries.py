@@ -26,6 +26,14 @@ def test_runs(name, spark, con, data_dir):
     assert verdict.startswith("rows only") and not verdict.endswith(": 0"), verdict
 
 
+@pytest.mark.parametrize("name", ["psi", "jensen_shannon", "missingness", "ks_whole_slices", "duplicate_rows"])
+def test_few_scans(name, spark, data_dir):
+    df = QUERIES[name].job(spark, data_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert 1 <= plan.count("FileScan") <= 2
+
+
 def test_entry_points(spark):
     import __spark_entry__ as entry
 

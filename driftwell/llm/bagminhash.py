@@ -363,13 +363,16 @@ def _pivots(members: DataFrame, step: int) -> DataFrame:
 
 def _blocks(members: DataFrame, known: DataFrame) -> DataFrame:
     """Two blocks of a bucket at a time, each a list of about ``BLOCK`` members with their texts."""
-    sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    dealt = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = F.pmod(F.xxhash64("node"), F.col("blocks"))
     rows = members.join(sizes, "bucket").withColumn("block", dealt).join(known, "node")
     text = F.struct("node", "label", "total", "room", "mark", "bands", "text")
-    blocks = pin(rows.groupBy("bucket", "band", "block").agg(F.collect_list(text).alias("members")), "blocks")
-    right = blocks.select(F.col("bucket").alias("other"), F.col("block").alias("j"), F.col("members").alias("right"))
-    met = blocks.join(right, (F.col("bucket") == F.col("other")) & (F.col("block") <= F.col("j")))
+    blocks = rows.groupBy("bucket", "band", "blocks", "block").agg(F.collect_list(text).alias("members"))
+    blocks = pin(blocks, "blocks")
+    # a block goes to each of its partners, so a large bucket is spread over as many keys as it has blocks
+    left = blocks.withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1))).repartition("bucket", "j")
+    right = blocks.select(F.col("bucket"), F.col("block").alias("j"), F.col("members").alias("right"))
+    met = left.join(right.repartition("bucket", "j"), ["bucket", "j"])
     return met.select("band", (F.col("block") == F.col("j")).alias("same"), F.col("members").alias("left"), "right")
 
 

@@ -1,13 +1,14 @@
 """Licence scans by sentence rules.
 
-A text is cut into sentences, each is normalised (lower case, runs of other characters than letters and
-digits become one blank) and looked up among known licence sentences; a sentence that is not known as a
-whole is looked up line by line. The identifiers found, in text order, are matched against ordered rules:
-sequences of identifiers, the longest first, left to right, without overlap.
+A text is normalised (lower case, runs of other characters than letters and digits become one blank, so
+comment marks go too); ends of lines and of sentences stay marked as bounds. A known licence sentence is found
+wherever its words run from one bound to another, whatever bounds lie between: a header may wrap its sentences over
+lines, follow a copyright line without a full stop, or hold blank lines. Matches go left to right, the longest
+first, without overlap. The identifiers found, in text order, are matched against ordered rules in the same way.
 
 All of it is column expressions: no shuffle, no Python on the executors. A text that holds none of the
 ``HINTS`` can't hold a known sentence (each known sentence has one, which is checked when the module is
-loaded), so only the others are cut.
+loaded), so only the others are searched.
 
 Defined cases: a null or empty text has no sentence and no licence; repeated rows give repeated results;
 columns other than ``doc_id`` and ``text`` are not read.
@@ -88,6 +89,10 @@ def normalised(sentence: str) -> str:
 
 KNOWN = {normalised(s): k for k, s in SENTENCES.items()}
 assert len(KNOWN) == len(SENTENCES) and all(re.search(HINTS, s) for s in SENTENCES.values())
+BOUND = "\u0001"
+_LONGEST_FIRST = sorted(KNOWN, key=lambda s: (-len(s), s))
+_WORDS = "|".join(s.replace(" ", f"[ {BOUND}]+") for s in _LONGEST_FIRST)
+SENTENCE = f"(?:^|{BOUND}) ?({_WORDS})(?= ?(?:{BOUND}|$))"
 ORDERED = sorted(RULES, key=lambda rule: (-len(rule), rule))
 PATTERN = "|".join("".join(f"<{k}>" for k in rule) for rule in ORDERED)
 LICENCE_OF = {"".join(f"<{k}>" for k in rule): name for rule, name in RULES.items()}
@@ -97,21 +102,15 @@ def _map(values: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
 
 
-def _clean(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
-
-
 def identifiers(text: Column) -> Column:
     """Known sentences of a text, in order, as ``<id><id>...``."""
+    bounds = F.regexp_replace(F.regexp_replace(text, ENDS, f"$1{BOUND}"), "\n", BOUND)
+    plain = F.regexp_replace(F.lower(bounds), f"[^a-z0-9{BOUND}]+", " ")
     known = _map(KNOWN)
-    sentences = F.split(F.regexp_replace(text, ENDS, "$1\u0001"), "\u0001")
-
-    def look(sentence: Column) -> Column:
-        whole = F.try_element_at(known, _clean(sentence))
-        lines = F.transform(F.split(sentence, "\n"), lambda line: F.try_element_at(known, _clean(line)))
-        return F.when(whole.isNotNull(), F.array(whole)).otherwise(F.filter(lines, lambda x: x.isNotNull()))
-
-    found = F.transform(F.flatten(F.transform(sentences, look)), lambda k: F.concat(F.lit("<"), k, F.lit(">")))
+    found = F.transform(
+        F.regexp_extract_all(plain, F.lit(SENTENCE), 1),
+        lambda run: F.concat(F.lit("<"), F.element_at(known, F.regexp_replace(run, f"[ {BOUND}]+", " ")), F.lit(">")),
+    )
     return F.when(text.rlike(HINTS), F.array_join(found, "")).otherwise(F.lit(""))
 
 

@@ -325,3 +325,53 @@ def test_word_blocks():
     hashes = found.hashes()
     assert hashes[0] == hashes[-1] and len(set(hashes.tolist())) == 4
     assert sliding_argmin(np.array([5 << 9, 3 << 9, 3 << 9, 9 << 9], np.uint64), 3).tolist() == [1, 1]
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2024 A B
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+APACHE_TEXT = """Copyright 2024 A B
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_unedited_licence_headers(spark, mark):
+    rows = [(i, "".join(f"{mark}{line}\n" for line in text.splitlines())) for i, text in enumerate([MIT_TEXT, APACHE_TEXT])]
+    rows += [(2, rows[0][1] + rows[1][1].replace("\n", "\r\n")), (3, "This is not\nreleased under the MIT License, nor\nwill it be.")]
+    rows += [(4, "It is not released under the MIT License.")]
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0].sentence_ids == "<mit_grant><mit_keep><mit_as_is>" and got[0].licenses == "MIT"
+    assert got[1].sentence_ids == "<apache_notice_long><apache_copy><apache_as_is><apache_limits>"
+    assert got[1].licenses == "Apache-2.0" and got[2].licenses == "MIT,Apache-2.0"
+    assert got[3].licenses == got[4].licenses == ""

@@ -3,10 +3,12 @@
 For every language of the corpus a reference is counted over all its documents: how its characters fall
 into classes, and which words make up at least ``COMMON`` of its words. A document is compared with the
 reference of its language by the Jensen-Shannon distance of the two histograms (0 to 1), each only if the
-document is long enough for it. Languages with less than ``LEAST_SHARE`` of all words share the reference
-of the whole corpus, so there are at most ``1 / LEAST_SHARE + 1`` references of ``1 / COMMON`` words.
+document is long enough for it. A language of fewer than ``LEAST_REFERENCE`` words has no reference, and its
+documents are judged by the base rule alone; no document is compared with other languages. References of languages
+with at least ``LEAST_SHARE`` of all words are broadcast, at most ``1 / LEAST_SHARE + 1`` of ``1 / COMMON`` words;
+those of all other languages are a table that is joined with their documents. The way does not change a result.
 
-Defined cases: a null or empty text has no words and fails the base rule; a null language is compared
+Defined cases: a null or empty text has no words and fails the base rule; a null or empty language is compared
 with the whole corpus; repeated rows give repeated results; an empty table gives an empty result; columns
 other than ``doc_id``, ``text`` and ``lang`` are not read.
 """
@@ -24,6 +26,7 @@ from driftwell.session import pin
 
 COMMON = 0.0025
 LEAST_SHARE = 0.001
+LEAST_REFERENCE = 4_000  # words of a language: its rarest common word occurs ten times
 MIN_WORDS = 40
 MIN_CHARS = 200
 MAX_CLASS_DISTANCE = 0.28
@@ -176,8 +179,29 @@ def _word_counts(batch: pa.RecordBatch, heavy: dict[str, np.ndarray]) -> pa.Reco
     return pa.RecordBatch.from_arrays(arrays, names=["lang", "cell", "n"])
 
 
-def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, int], int]]:
-    """Class counts, common words and number of words of each language, and of the whole corpus (``*``).
+def _carried_word_counts(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    """The same for documents that bring the heavy buckets of their language along."""
+    return _word_counts(batch, dict(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)))
+
+
+def _rare_references(rows: DataFrame, counted: DataFrame, rare: DataFrame) -> DataFrame:
+    """``lang, classes, common, words`` of each language of ``rare``, one row each, counted as the others are."""
+    n, bucket = F.col("n"), F.col("bucket")
+    own = counted.join(rare, "lang").groupBy("lang", "words", "bucket").agg(F.sum("n").alias("n"))
+    heavy = F.when((bucket < BUCKETS) & (n >= COMMON * F.col("words")), bucket)
+    kinds = F.when(bucket >= BUCKETS, F.struct((bucket - BUCKETS).alias("kind"), "n"))
+    sketch = own.groupBy("lang", "words").agg(F.collect_list(heavy).alias("heavy"), F.collect_list(kinds).alias("classes"))
+    sketch = pin(sketch, "sketch")
+    spelled = rows.join(sketch.select("lang", "heavy"), "lang").select("text", "lang", "heavy")
+    spelled = spelled.mapInArrow(per_batch(lambda: _carried_word_counts), "lang string, cell string, n long")
+    spelled = spelled.groupBy("lang", "cell").agg(F.sum("n").alias("n")).join(rare, "lang")
+    common = spelled.where(n >= COMMON * F.col("words")).groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("common"))
+    return pin(sketch.join(common, "lang", "left").select("lang", "classes", "common", "words"), "rare")
+
+
+def references(docs: DataFrame) -> tuple[dict[str, tuple[np.ndarray, dict[str, int], int]], DataFrame]:
+    """Class counts, common words and number of words of each language, and of the whole corpus (``*``):
+    a dictionary for languages of at least ``LEAST_SHARE`` and the corpus, a table for the others.
 
     Exact, from two passes over all documents. The first sums words by hash bucket: a common word makes its
     bucket at least as heavy, so there are at most ``1 / COMMON`` heavy buckets per language. The second
@@ -189,7 +213,9 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, int], i
     is_word = F.col("bucket") < BUCKETS
     sizes = pin(counted.where(is_word).groupBy("lang").agg(F.sum("n").alias("words")), "sizes")
     total = sizes.agg(F.sum("words")).first()[0] or 0
-    large = sizes.where((F.col("lang") != "") & (F.col("words") >= LEAST_SHARE * total))
+    sized = sizes.where(~F.col("lang").isin("", ALL) & (F.col("words") >= LEAST_REFERENCE))
+    large = sized.where(F.col("words") >= LEAST_SHARE * total)
+    rare = _rare_references(rows, counted, sized.where(F.col("words") < LEAST_SHARE * total))
     pooled = counted.groupBy("bucket").agg(F.sum("n").alias("n")).select(F.lit(ALL).alias("lang"), "bucket", "n")
     own = counted.join(F.broadcast(large.select("lang")), "lang").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     words = F.broadcast(large.union(large.sparkSession.createDataFrame([(ALL, int(total))], "lang string, words long")))
@@ -211,7 +237,7 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, dict[str, int], i
     common = spelled.unionByName(pooled).join(words, "lang").where(F.col("n") >= COMMON * F.col("words"))
     for r in common.collect():
         out[r.lang][1][r.cell] = r.n
-    return out
+    return out, rare
 
 
 class Reference:
@@ -241,42 +267,62 @@ RULES = (
 )
 
 
+def _carried(batch: pa.RecordBatch) -> dict[str, Reference]:
+    """References that documents bring along, by language."""
+    first = {lang: i for i, lang in enumerate(batch.column(2).to_pylist())}
+    out = {}
+    for lang, i in first.items():
+        classes = np.zeros(len(CLASSES))
+        for x in batch.column(3)[i].as_py():
+            classes[x["kind"]] = x["n"]
+        common = {x["cell"]: x["n"] for x in batch.column(4)[i].as_py() or ()}
+        out[lang] = Reference(classes, common, batch.column(5)[i].as_py())
+    return out
+
+
+def _judged(batch: pa.RecordBatch, found: dict[str, Reference]) -> pa.RecordBatch:
+    t = Texts(batch.column(1))
+    lang = np.array([x if x else ALL for x in batch.column(2).to_pylist()], object)
+    classes = t.classes()
+    chars = classes.sum(axis=1)
+    by_class, by_word = np.zeros(t.n), np.zeros(t.n)
+    alone = np.ones(t.n, bool)
+    for name in set(lang.tolist()) & set(found):
+        mine = np.flatnonzero(lang == name)
+        alone[mine] = False
+        row = np.full(t.n, -1)
+        row[mine] = np.arange(len(mine))
+        own = row[t.doc] >= 0
+        reference = found[name]
+        by_class[mine] = distance(classes[mine], reference.classes)
+        counts = reference.histogram(t.hashes[own], row[t.doc[own]], len(mine))
+        by_word[mine] = distance(counts, reference.words)
+    by_class, by_word = by_class.round(4), by_word.round(4)
+    repeated = t.repeated_words()
+    failed = (t.n_words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED_PCT * t.n_words)
+    no_class, no_word = alone | (chars < MIN_CHARS), alone | (t.n_words < MIN_WORDS)
+    most = WORD_FLOOR + WORD_NOISE / np.sqrt(np.maximum(t.n_words, 1))
+    odd = (~no_class & (by_class > MAX_CLASS_DISTANCE)) | (~no_word & (by_word > most))
+    columns = [t.n_words, t.word_chars(), t.symbols(), t.repeated_lines(), repeated, failed, ~failed & ~odd]
+    arrays = [batch.column(0), *map(pa.array, columns)]
+    arrays += [pa.array(by_class, mask=no_class), pa.array(by_word, mask=no_word)]
+    names = ["doc_id", *[c.split()[0] for c in RULES.split(", ")]]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Base counts and verdict for every document; distances are rounded to 4 places, null where the
-    document is too short for them."""
-    shared = docs.sparkSession.sparkContext.broadcast(references(docs))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    document is too short for them or its language has no reference."""
+    large, rare = references(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(large)
+    layout = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {RULES}"
 
     def make():
         found = {lang: Reference(*r) for lang, r in shared.value.items()}
+        return lambda batch: _judged(batch, found)
 
-        def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            t = Texts(batch.column(1))
-            lang = np.array([x if x in found else ALL for x in batch.column(2).to_pylist()], object)
-            classes = t.classes()
-            chars = classes.sum(axis=1)
-            by_class, by_word = np.zeros(t.n), np.zeros(t.n)
-            for name in set(lang.tolist()) & set(found):
-                mine = np.flatnonzero(lang == name)
-                row = np.full(t.n, -1)
-                row[mine] = np.arange(len(mine))
-                own = row[t.doc] >= 0
-                reference = found[name]
-                by_class[mine] = distance(classes[mine], reference.classes)
-                counts = reference.histogram(t.hashes[own], row[t.doc[own]], len(mine))
-                by_word[mine] = distance(counts, reference.words)
-            by_class, by_word = by_class.round(4), by_word.round(4)
-            repeated = t.repeated_words()
-            failed = (t.n_words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED_PCT * t.n_words)
-            short_class, short_word = chars < MIN_CHARS, t.n_words < MIN_WORDS
-            most = WORD_FLOOR + WORD_NOISE / np.sqrt(np.maximum(t.n_words, 1))
-            odd = (~short_class & (by_class > MAX_CLASS_DISTANCE)) | (~short_word & (by_word > most))
-            columns = [t.n_words, t.word_chars(), t.symbols(), t.repeated_lines(), repeated, failed, ~failed & ~odd]
-            arrays = [batch.column(0), *map(pa.array, columns)]
-            arrays += [pa.array(by_class, mask=short_class), pa.array(by_word, mask=short_word)]
-            names = ["doc_id", *[c.split()[0] for c in RULES.split(", ")]]
-            return pa.RecordBatch.from_arrays(arrays, names=names)
-
-        return each
-
-    return docs.select("doc_id", "text", "lang").mapInArrow(per_batch(make), f"doc_id {kind}, {RULES}")
+    rows = docs.select("doc_id", "text", "lang")
+    others = rows.join(rare.select("lang"), "lang", "left_anti").select("doc_id", "text", "lang")
+    own = rows.join(rare, "lang").select("doc_id", "text", "lang", "classes", "common", "words")
+    judged = own.mapInArrow(per_batch(lambda: lambda batch: _judged(batch, _carried(batch))), layout)
+    return others.mapInArrow(per_batch(make), layout).unionByName(judged)

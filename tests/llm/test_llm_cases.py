@@ -375,3 +375,18 @@ def test_unedited_licence_headers(spark, mark):
     assert got[1].sentence_ids == "<apache_notice_long><apache_copy><apache_as_is><apache_limits>"
     assert got[1].licenses == "Apache-2.0" and got[2].licenses == "MIT,Apache-2.0"
     assert got[3].licenses == got[4].licenses == ""
+
+
+def test_small_languages_have_their_own_reference(spark, monkeypatch):
+    rnd = random.Random(7)
+    text = lambda stem, n: " ".join(f"{stem}{min(int(rnd.expovariate(0.01)), 2000)}" for _ in range(n))
+    rows = [(i, text("word", 10_000), "en") for i in range(20)]
+    rows += [(100 + i, text("слово", 900), "uk") for i in range(6)]  # enough words for a reference
+    rows += [(200, text("буква", 100), "bg"), (300, text("word", 300), "uk"), (400, text("word", 300), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in divergence.quality_rules(df).collect()}
+    assert len(got) == len(rows) and got[200].kept and got[200].class_distance is got[200].word_distance is None
+    assert all(got[i].kept and got[i].class_distance < 0.2 for i in [*range(20), *range(100, 106)])
+    assert not got[300].kept and got[400].word_distance is not None
+    monkeypatch.setattr(divergence, "LEAST_SHARE", 0.5)  # now a rare language: the same from the joined table
+    assert {r.doc_id: r for r in divergence.quality_rules(df).collect()} == got

@@ -1,14 +1,14 @@
 """Spark ML jobs over the trip role. No SQL form; checked by rows here and by tests on small frames.
 
-Ensembles are registered at a size that a check run can afford; the sizes of
-the reference procedure are the defaults of the library.
+Every job is registered at the sizes of the reference procedure, which are the
+defaults of the library, over all features.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftwell.functions.columns import tip_frame, with_abs_error
+from driftwell.functions.columns import DROPOFF, PICKUP, tip_frame, with_abs_error
 from driftwell.operators import metrics as M
 from driftwell.operators import models as L
 from driftwell.operators.features import engineer_features
@@ -20,8 +20,6 @@ from driftwell.plans.roles import both_slices, trips
 from driftwell.plans.store import ModelStore
 from driftwell.session import pin, shared_dir
 
-SMALL = L.Boost(trees=4, depth=4, rate=0.3)
-
 
 def _tips(spark, d):
     """Card tips with their features."""
@@ -55,7 +53,7 @@ def boosted_tips(spark, d):
     ref, cur = both_slices(spark, d)
     made = [engineer_features(s.withColumn("y", F.coalesce("tip_amount", F.lit(0.0))), keep=["y"], drop_leaky=True) for s in (ref, cur)]
     names = [c for c in made[0].columns if c != "y"]
-    model = L.fit_boosted(pin(made[0], "train"), names, "y", SMALL)
+    model = L.fit_boosted(pin(made[0], "train"), names, "y", L.CHAMPION)
     parts = [
         L.score(model, m, ["y"]).agg(F.lit(n).alias("slice"), M.rmse("y", "y_pred").alias("rmse"), M.mae("y", "y_pred").alias("mae"))
         for n, m in zip(("reference", "current"), made)
@@ -74,15 +72,14 @@ def validation_curve(spark, d):
     """Loss after each boosting round on held-out rows, best round marked."""
     df, names = _paid(spark, d)
     parts = random_split(df, ["trip_id"], 0.25, 1)
-    model = L.fit_boosted_classifier(parts.where("part = 'train'"), names, "y", SMALL)
+    model = L.fit_boosted_classifier(parts.where("part = 'train'"), names, "y", L.CHAMPION)
     return L.validation_curve(model, parts.where("part = 'test'"))
 
 
 @query("svc_grid", "M5")
 def svc_grid(spark, d):
-    df, _ = _paid(spark, d)
-    df = df.select("y", "log_trip_distance", "log_fare_amount", "passenger_count_binned", "payment_type_1")
-    return L.svc_grid(pin(df, "points"), df.columns[1:], "y", costs=(0.1, 10), folds=2)[0]
+    df, names = _paid(spark, d)
+    return L.svc_grid(pin(df.select("y", *names), "points"), names, "y")[0]
 
 
 @query("compare_regressors", "M6 M15")
@@ -105,8 +102,8 @@ def principal_components(spark, d):
 def cv_search(spark, d):
     """Random search, each trial over the same stratified folds; one summary row per trial."""
     df, names = _paid(spark, d)
-    folded = stratified_folds(df, ["trip_id"], "y", 2, 0)
-    return M.cv_trial_summary(L.cv_search(folded, names[:6], "fold", "y", trials=2, trees=3))
+    folded = stratified_folds(df, ["trip_id"], "y", 5, 0)
+    return M.cv_trial_summary(L.cv_search(folded, names, "fold", "y"))
 
 
 @query("refit_at_best", "M9 D2 A36")
@@ -115,35 +112,43 @@ def refit_at_best(spark, d):
     df, names = _paid(spark, d)
     parts = pin(stratified_split(df, ["trip_id"], "y", {"train": 0.6, "valid": 0.2, "test": 0.2}), "parts")
     part = lambda p: parts.where(F.col("part") == p)
-    first = L.fit_boosted_classifier(part("train"), names, "y", SMALL)
+    first = L.fit_boosted_classifier(part("train"), names, "y", L.CHAMPION)
     best = L.best_iteration(L.validation_curve(first, part("valid")))
-    model, auc = L.refit_at_best(part("train").unionByName(part("valid")), part("test"), names, best, "y", SMALL)
+    model, auc = L.refit_at_best(part("train").unionByName(part("valid")), part("test"), names, best, "y", L.CHAMPION)
     scored = L.class_share(model, part("test")).select("y", "score")
     return M.roc_auc(scored, "y", "score").withColumns({"best_iteration": F.lit(best), "evaluator_auc": F.lit(auc)})
 
 
+def valid_rows(batch, rules: GateRules = GateRules()):
+    """Rows of a batch that break none of the gate's rules for single rows."""
+    bad = [F.col(c).isNull() for c in rules.critical]
+    for c, lo, hi in rules.ranges:
+        bad += [F.col(c) < lo, F.col(c) > hi]
+    bad += [F.col(PICKUP) >= F.col(DROPOFF), F.col("tip_amount") > F.col("total_amount")]
+    return batch.where(~F.coalesce(F.greatest(*bad), F.lit(False)))
+
+
 @query("monitoring_run", "M11 M12 M13 M14 M10 J8 W11 S12")
 def monitoring_run(spark, d):
-    """Whole run: gate, features, champion bootstrap, performance gate, retrain, promotion."""
+    """Whole run: gate, features, champion bootstrap, performance gate, retrain, promotion.
+
+    Once for the whole batch, as the gate finds it, and once for its valid rows, as they are sent again
+    after a rejection. A rejected batch has no scored rows.
+    """
     root = shared_dir(spark).rstrip("/")
     ref, cur = both_slices(spark, d)
     import uuid
 
     store = ModelStore(spark, f"{root}/registry-{uuid.uuid4().hex}")
-    cfg = MonitorConfig(
-        keys=["trip_id"],
-        order_by="lpep_dropoff_datetime",
-        rules=GateRules(critical=(), max_invalid=0.5, max_order=0.5),
-        degradation_pct=-100.0,
-        champion=L.Boost(trees=2, depth=3, rate=0.3),
-        candidate=L.Boost(trees=4, depth=4, rate=0.3),
-    )
-    result = run_monitoring(ref, cur, store, cfg, f"{root}/decisions-{uuid.uuid4().hex}")
-    rows = [
-        (name, decision.get("action") or decision.get("reason") or "", str(decision.get("promotion_executed", "")))
-        for name, decision in result.decisions.items()
-    ]
-    decided = spark.createDataFrame(rows, "step string, outcome string, promoted string")
-    errors = result.tables["predictions"].agg(F.count(F.lit(1)).alias("rows"), F.avg("abs_error").alias("mae"))
-    n, mae = errors.select("rows").scalar(), errors.select("mae").scalar()
-    return decided.withColumns({"scored_rows": n, "mae": mae})
+    cfg = MonitorConfig(keys=["trip_id"], order_by="lpep_dropoff_datetime")
+    rows = []
+    for name, batch in (("whole", cur), ("valid", valid_rows(cur, cfg.rules))):
+        result = run_monitoring(ref, batch, store, cfg, f"{root}/decisions-{uuid.uuid4().hex}")
+        n, mae = 0, None
+        if "predictions" in result.tables:
+            n, mae = result.tables["predictions"].agg(F.count(F.lit(1)), F.avg("abs_error")).first()
+        rows += [
+            (name, step, decision.get("action") or decision.get("reason") or "", str(decision.get("promotion_executed", "")), n, mae)
+            for step, decision in result.decisions.items()
+        ]
+    return spark.createDataFrame(rows, "batch string, step string, outcome string, promoted string, scored_rows long, mae double")

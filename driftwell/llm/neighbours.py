@@ -5,7 +5,7 @@ and projected on the leading singular directions of the labelled sample (latent
 length). The labelled vectors are broadcast; each batch of texts is multiplied with all of them, so the
 cosines are exact, and the ``NEIGHBOURS`` nearest vote with weights that grow with the cosine.
 
-The sample holds at most ``MAX_LABELLED`` labelled rows, the first by a hash of the id, so the model is of
+The sample holds at most ``MAX_LABELLED`` labelled rows that have a text, the first by a hash of the id, so the model is of
 bounded size whatever the corpus holds. The score uses the text only.
 
 Defined cases: a null or empty text, and any text when there are no labels, gets the share of label 1 in
@@ -115,8 +115,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """At most ``MAX_LABELLED`` rows ``text, label`` outside the held-out fold."""
     rows = labels.where(F.col("quality").isNotNull() & (fold() != 0))
     rows = rows.groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
+    rows = rows.join(texts.select("doc_id"), "doc_id", "left_semi")
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     return texts.join(F.broadcast(rows), "doc_id").select("doc_id", "text", "label")
 
 
@@ -124,8 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """The model of a bounded sample; sparse term counts of the sample come to the driver."""
 
     def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts = term_counts(batch.column(1)).astype(np.uint32)
-        packed = [row.tobytes() for row in np.minimum(counts, 65535).astype("<u2")]
+        packed = [row.tobytes() for row in term_counts(batch.column(1)).astype("<u4")]
         arrays = [batch.column(0), batch.column(2), pa.array(packed, pa.binary())]
         return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "label", "counts"])
 
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # repeated rows could exceed the bound: one row for each id
     got = got.groupBy("doc_id").agg(F.min(F.struct("label", "counts")).alias("r")).orderBy("doc_id").toArrow()
     r = got.column("r").combine_chunks()
-    counts = np.frombuffer(b"".join(r.field("counts").to_pylist()), "<u2").reshape(-1, TERMS).astype(np.float32)
+    counts = np.frombuffer(b"".join(r.field("counts").to_pylist()), "<u4").reshape(-1, TERMS).astype(np.float32)
     return Model(counts, np.array(r.field("label").to_pylist(), float))
 
 

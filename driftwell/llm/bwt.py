@@ -25,6 +25,8 @@ result; other columns are not read.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -246,8 +248,9 @@ def repeats(rows: DataFrame) -> DataFrame:
     return spans
 
 
-def _keep_bytes(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Per text: numbers of bytes, removed bytes and maximal removed runs, the runs, and the bytes that stay."""
+def _keep_bytes(batch: pa.RecordBatch, letters: bool = False) -> pa.RecordBatch:
+    """Per text: numbers of bytes, removed bytes and maximal removed runs, the runs, and the bytes that stay,
+    with ``letters`` without those of letters that were cut through."""
     data, offsets = flat(batch.column(1))
     spans = batch.column(2)
     doc = pc.list_parent_indices(spans).to_numpy()
@@ -259,14 +262,15 @@ def _keep_bytes(batch: pa.RecordBatch) -> pa.RecordBatch:
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
         edge = np.flatnonzero(np.diff(np.concatenate([[0], gone[a:b].view(np.int8), [0]])))
         runs.append([{"start": int(x), "end": int(y)} for x, y in zip(edge[::2], edge[1::2], strict=True)])
-        kept.append(data[a:b][~gone[a:b]].tobytes())
-        removed[i] = b - a - len(kept[-1])
+        stays = data[a:b][~gone[a:b]].tobytes()
+        removed[i] = b - a - len(stays)
+        kept.append(stays.decode("utf-8", "ignore").encode() if letters else stays)
     arrays = [batch.column(0), pa.array(size), pa.array(removed), pa.array(kept, pa.binary())]
     arrays.append(pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))))
     return pa.RecordBatch.from_arrays(arrays, names=["k", "n_bytes", "n_removed", "kept", "spans"])
 
 
-def _without(rows: DataFrame, *more: str) -> DataFrame:
+def _without(rows: DataFrame, *more: str, letters: bool = False) -> DataFrame:
     spans = repeats(rows.select("k", "text")).groupBy("k")
     spans = pin(spans.agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")  # of one document
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
@@ -279,7 +283,7 @@ def _without(rows: DataFrame, *more: str) -> DataFrame:
         kept=T.BinaryType(),
         spans=spans.schema["spans"].dataType,
     )
-    return joined.mapInArrow(per_batch(lambda: _keep_bytes), schema)
+    return joined.mapInArrow(per_batch(lambda: partial(_keep_bytes, letters=letters)), schema)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -296,12 +300,7 @@ def cleaned_documents(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.struct("doc_id", F.xxhash64(text).alias("th"))
     rows = docs.select(F.struct(*columns).alias("own"), key.alias("k"), text.alias("text"))
-    done = _without(rows, "own")
-    kept = F.when(F.col("n_removed") == 0, F.col("k.own.text")).otherwise(_text("kept"))
+    done = _without(rows, "own", letters=True)
+    kept = F.when(F.col("n_removed") == 0, F.col("k.own.text")).otherwise(F.col("kept").cast("string"))
     done = done.where((F.col("n_removed") == 0) | (F.octet_length(kept) > 0))
     return done.select(*[kept.alias(c) if c == "text" else F.col("k.own")[c].alias(c) for c in columns])
-
-
-def _text(column: str):
-    """Bytes as text, without the marks that stand for broken letters."""
-    return F.replace(F.make_valid_utf8(F.col(column).cast("string")), F.lit("�"), F.lit(""))

@@ -45,7 +45,7 @@ SHINGLE = 5
 SIMILAR = (4, 5)  # four fifths
 BANDS, ROWS = 24, 5
 SIGNATURE = BANDS * ROWS
-LEAST_AGREE = 74
+LEAST_AGREE = 72
 NIBBLES = 16  # of a word of the mark
 MARK = -(-SIGNATURE // NIBBLES)
 MAX_ROUNDS = 12

@@ -69,8 +69,8 @@ def view_losses(
         F.col(batch).alias("batch_id"), F.col(view).alias("view_id"), F.col(pair).alias("pair_id"), F.col(vector).alias("embedding")
     )
     sizes = rows.groupBy("batch_id").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias("tiles"))
-    largest = sizes.agg(F.max("tiles")).first()[0] or 1
-    rows = rows.withColumn("tiles", F.lit(1)) if largest == 1 else rows.join(sizes, "batch_id")
+    sizes = sizes.withColumnRenamed("batch_id", "of")
+    rows = rows.join(sizes, F.col("batch_id").eqNullSafe(F.col("of"))).drop("of")
     mine = F.pmod(F.xxhash64("view_id"), F.col("tiles")).cast("int")
     spread = _spread(rows, mine)
     found = spread.groupBy("batch_id", "a", "b").applyInPandas(

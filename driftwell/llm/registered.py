@@ -1,6 +1,18 @@
 """Imports every query module of the subpackage."""
 
-from driftwell.llm import q_bagminhash, q_bpe, q_bwt, q_divergence, q_fingerprints, q_licenses, q_mixing, q_neighbours, q_seeds, q_sharding  # noqa: F401
+from driftwell.llm import (  # noqa: F401
+    q_bagminhash,
+    q_bpe,
+    q_bwt,
+    q_divergence,
+    q_fingerprints,
+    q_licenses,
+    q_mixing,
+    q_neighbours,
+    q_pieces,
+    q_seeds,
+    q_sharding,
+)
 from driftwell.llm.catalog import LLM_QUERIES
 
 __all__ = ["LLM_QUERIES"]

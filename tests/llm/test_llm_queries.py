@@ -45,7 +45,7 @@ def test_matches_sql(name, spark, con, data_dir):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in LLM_QUERIES) == list(range(1, 14))
 
 
 def run(spark, data_dir, name):

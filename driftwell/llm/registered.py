@@ -10,6 +10,7 @@ from driftwell.llm import (  # noqa: F401
     q_mixing,
     q_neighbours,
     q_pieces,
+    q_recompression,
     q_seeds,
     q_sharding,
 )

@@ -13,6 +13,7 @@ from driftwell.llm import (  # noqa: F401
     q_recompression,
     q_seeds,
     q_sharding,
+    q_spectra,
 )
 from driftwell.llm.catalog import LLM_QUERIES
 

@@ -8,8 +8,8 @@ one encoding, hence one last token: of the pieces that end there (an automaton f
 compatible with the last token of the prefix before it. The table keeps that token for each prefix, one entry a
 letter; the ids are then read off backwards. Compatibility is decided by the joins themselves, once a pair.
 
-Before that, a text is cut where a blank follows another letter, if no piece of the vocabulary has that inside:
-nothing is joined across. Short fragments are remembered.
+Before that, a text is cut where a blank follows another letter and between letters of words and other signs, if no
+piece of the vocabulary has that inside: nothing is joined across. Short fragments are remembered.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text. Letters that no piece holds become
 their UTF-8 bytes. U+2581 in a text is a blank, as in the library. A very long text without blanks takes memory
@@ -39,6 +39,7 @@ REMEMBERED = 1 << 17  # fragments
 REMEMBERED_LETTERS = 32  # of a fragment, at most
 PAIRS = 1 << 21  # decided pairs that are kept
 BLANK = "▁"
+WORD_LETTER, OTHER = r"[\p{L}\p{M}]", r"[^\p{L}\p{M}" + BLANK + "]"
 UNKNOWN_TEXT = " ⁇ "
 # Numbers of the published model format.
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -112,14 +113,14 @@ class PieceTable:
         lone = sorted({c for p in self.ids for c in p} - set(self.ids))
         self.texts += lone
         self.known = len(pieces)
+        self.sizes = [len(t) for t in self.texts]
+        self.after: list[dict[int, bool]] = [{} for _ in self.texts]  # token -> the one before -> compatible
+        self.decided = 0
         self.ends = ahocorasick.Automaton()
         for token, text in [*((i, p) for p, i in self.ids.items()), *enumerate(lone, self.known)]:
-            self.ends.add_word(text, (token, len(text)))
+            self.ends.add_word(text, (token, len(text), self.after[token]))
         self.ends.make_automaton()
-        self.after: list[dict[int, bool]] = [{} for _ in self.texts]
-        self.decided = 0
-        cut = not any(BLANK in p.lstrip(BLANK) for p in self.ids)
-        self.fragments = regex.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if cut else "(?s).+").findall
+        self.fragments = regex.compile(f"(?s){self.cuts()}").findall
         self.remembered: dict[str, bytes] = {}
 
     @staticmethod
@@ -128,6 +129,17 @@ class PieceTable:
             return bytes([int(piece[1:-1], 16)])
         return {CONTROL: "", UNKNOWN: UNKNOWN_TEXT}.get(kind, piece.replace(BLANK, " ")).encode()
 
+    def cuts(self) -> str:
+        """A pattern of fragments that no piece reaches across: at blanks after other letters, and between letters of
+        words and other signs, where the vocabulary allows it."""
+        inner = [p.lstrip(BLANK) for p in self.ids]
+        if any(BLANK in p for p in inner):
+            return ".+"
+        mixed = regex.compile(f"{WORD_LETTER}{OTHER}|{OTHER}{WORD_LETTER}").search
+        if any(map(mixed, inner)):
+            return f"{BLANK}*[^{BLANK}]+|{BLANK}+"
+        return f"{BLANK}*{WORD_LETTER}+|{BLANK}*{OTHER}+|{BLANK}+"
+
     def compatible(self, left: int, right: int) -> bool:
         """Whether the text of both tokens is encoded as these two; ``left`` may be -1, nothing."""
         before = self.texts[left] if left >= 0 else ""
@@ -149,36 +161,40 @@ class PieceTable:
         return len(parts) == (2 if left >= 0 else 1)
 
     def table(self, text: str) -> list[int]:
-        """The last token of each prefix; -1 for the empty one and for those that end in a letter of no piece."""
-        last = [-1] * (len(text) + 1)
-        after = self.after
-        for end, (token, size) in self.ends.iter(text):
-            end += 1
-            if last[end] >= 0:
+        """The last token of each prefix but the empty one; -1 for those that end in a letter of no piece."""
+        last = [-1] * len(text)
+        done = -1
+        for end, (token, size, known) in self.ends.iter(text):
+            if end == done:
                 continue
-            before = last[end - size]
-            fits = after[token].get(before)
+            before = last[end - size]  # nothing is before the first letter: the last entry, not set yet
+            fits = known.get(before)
             if fits is None:
-                if self.decided >= PAIRS:
-                    self.decided = 0
-                    for pairs in after:
-                        pairs.clear()
-                fits = after[token][before] = self.compatible(before, token)
-                self.decided += 1
+                fits = self.decide(before, token)
             if fits:
                 last[end] = token
+                done = end
         return last
 
+    def decide(self, before: int, token: int) -> bool:
+        if self.decided >= PAIRS:
+            self.decided = 0
+            for pairs in self.after:
+                pairs.clear()
+        self.decided += 1
+        fits = self.after[token][before] = self.compatible(before, token)
+        return fits
+
     def encode_fragment(self, text: str) -> bytes:
-        last, at, ids = self.table(text), len(text), []
-        while at:
+        last, at, ids, sizes = self.table(text), len(text) - 1, [], self.sizes
+        while at >= 0:
             token = last[at]
             if 0 <= token < self.known:
                 ids.append(token)
-                at -= len(self.texts[token])
+                at -= sizes[token]
             else:
-                at -= 1
                 ids.extend(self.byte[b] for b in reversed(text[at].encode()))
+                at -= 1
         ids.reverse()
         return struct.pack(f"<{len(ids)}i", *ids)
 

@@ -58,15 +58,12 @@ def test_any_ids_decode(pieces, library):
 
 def test_one_last_token_for_each_prefix(pieces, library):
     text = "▁preprocessing▁▁▁of▁tokens"
-    last = pieces.table(text)
+    last = [*pieces.table(text), -1]  # at -1: the empty prefix
     for end in range(1, len(text) + 1):
-        fitting = [
-            token
-            for token in map(pieces.ids.get, (text[start:end] for start in range(end)))
-            if token is not None and pieces.compatible(last[end - len(pieces.texts[token])], token)
-        ]
-        assert fitting == [last[end]]
-        assert last[end] == library.encode(text[1:end].replace("▁", " "))[-1] or end == 1
+        found = (pieces.ids.get(text[start:end]) for start in range(end))
+        fitting = [t for t in found if t is not None and pieces.compatible(last[end - 1 - pieces.sizes[t]], t)]
+        assert fitting == [last[end - 1]]
+        assert end == 1 or fitting[0] == library.encode(text[1:end].replace("▁", " "))[-1]
 
 
 def test_cases(spark, library):

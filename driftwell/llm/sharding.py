@@ -4,8 +4,9 @@ Each row weighs three things: bytes, tokens and rows. Rows of equal text form a
 as one unit on the shard where the dot product of its vector with the residual capacity is highest,
 largest units first. To keep the list of units bounded whatever the table holds, groups below
 ``1 / (shards * CELLS)`` of every total are put together by text hash, so there are at most
-``4 * shards * CELLS`` cells. A group above ``1 / (shards * SPLIT)`` of any total is cut into pieces by a
-hash of the id, so a text that fills a third of the table spreads over many shards. The greedy choice
+``4 * shards * CELLS`` cells. A group above ``1 / shards`` of any total is cut into ``PIECES`` times as many pieces by a
+hash of a row number, so a text that fills a third of the table spreads over many shards, also if all its rows
+have one id or none. The greedy choice
 runs on the driver over that bounded list; rows are only counted, joined and numbered by Spark.
 
 Defined cases: a null text has no bytes and equals the empty text; rows without id, and repeated rows,
@@ -23,7 +24,7 @@ from driftwell.session import pin
 
 ROW_BYTES = 16
 CELLS = 256
-SPLIT = 1
+PIECES = 4  # of a shard's share, into which larger groups are cut
 
 
 def place(vectors: np.ndarray, shards: int) -> np.ndarray:
@@ -62,7 +63,8 @@ def measured(docs: DataFrame) -> DataFrame:
 def shard_rows(docs: DataFrame, shards: int) -> DataFrame:
     """``doc_id, size, tokens, text_crc32, shard, slot``: every row with its shard and gapless place in it."""
     spark = docs.sparkSession
-    rows = pin(measured(docs), "sizes")
+    # numbered once, in the written table: pieces of a large group are even whatever its ids are
+    rows = pin(measured(docs).withColumn("row", F.monotonically_increasing_id()), "sizes")
     sums = [F.sum("size").alias("size"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
     total = np.array([x or 1 for x in rows.agg(*sums).first()], float)
     total[total == 0] = 1
@@ -77,7 +79,7 @@ def shard_rows(docs: DataFrame, shards: int) -> DataFrame:
     units = np.empty(begins[-1] + shards * CELLS, np.int64)  # cell -> unit
     n = 0
     for k, (_, _, part) in enumerate(found):
-        cut = max(1, int(np.ceil(part * shards * SPLIT))) if part > 1.0 / (shards * SPLIT) else 1
+        cut = int(np.ceil(part * shards * PIECES)) if part > 1.0 / shards else 1
         units[begins[k] : begins[k + 1]] = n + np.arange(pieces[k]) * cut // pieces[k]
         n += cut
     units[begins[-1] :] = n + np.arange(shards * CELLS)
@@ -87,7 +89,7 @@ def shard_rows(docs: DataFrame, shards: int) -> DataFrame:
     celled = rows.join(groups, ["g1", "g2"], "left").withColumn(
         "cell",
         F.when(F.col("pieces").isNull(), small).otherwise(
-            F.col("first_cell") + F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.col("pieces"))
+            F.col("first_cell") + F.pmod(F.xxhash64("row", F.lit("piece")), F.col("pieces"))
         ),
     )
     cells = sorted(tuple(r) for r in celled.groupBy("cell").agg(*sums).collect())  # bounded as above
@@ -101,7 +103,7 @@ def shard_rows(docs: DataFrame, shards: int) -> DataFrame:
         plan.append((cell, s, int(filled[s])))
         filled[s] += count
     plan = F.broadcast(spark.createDataFrame(plan, "cell long, shard int, before long"))
-    inside = Window.partitionBy("cell").orderBy("doc_id", "g1")
+    inside = Window.partitionBy("cell").orderBy("doc_id", "g1", "row")
     return celled.join(plan, "cell").select(
         "doc_id",
         "size",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from driftwell.functions import columns as C
@@ -9,6 +10,7 @@ from driftwell.functions.text import letter_bucket, tokens
 from driftwell.operators import counting as K
 from driftwell.operators import features as X
 from driftwell.operators.reports import completion_rank
+from driftwell.operators.states import Fold, fold
 from driftwell.operators.vectors import aggregate_blocks, map_batches
 from driftwell.plans.catalog import query, table
 from driftwell.plans.roles import TELEMETRY_SQL, TRIPS_SQL, ZONES_SQL, telemetry, trips, zones
@@ -238,6 +240,42 @@ def paid_rate_by_block(spark, d):
     )
 
 
+COVER_US = 600_000_000  # an event covers ten minutes
+
+
+def _stretches(intervals: np.ndarray) -> np.ndarray:
+    """Overlapping and touching intervals (begin, end) put together."""
+    if not len(intervals):
+        return intervals
+    intervals = intervals[np.argsort(intervals[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(intervals[:, 1])
+    begins = np.append(True, intervals[1:, 0] > reach[:-1])
+    at = np.flatnonzero(begins)
+    return np.stack([intervals[at, 0], reach[np.append(at[1:], len(reach)) - 1]], axis=1)
+
+
+COVERED = Fold(
+    zero=lambda: np.empty((0, 2), np.int64),
+    block=lambda state, rows: _stretches(np.concatenate([state, rows[["a", "b"]].to_numpy(np.int64)])),
+    combine=lambda x, y: _stretches(np.concatenate([x, y])),
+    final=lambda state: (len(state), int((state[:, 1] - state[:, 0]).sum())),
+)
+
+
+@query(
+    "covered_time",
+    "U3 A7",
+    f"WITH {TELEMETRY_SQL}, i AS (SELECT region, epoch_us(event_ts) AS a, epoch_us(event_ts) + {COVER_US} AS b FROM telemetry), "
+    "m AS (SELECT *, max(b) OVER (PARTITION BY region ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM i) "
+    "SELECT region, count(*) FILTER (WHERE p IS NULL OR a > p) AS stretches, sum(greatest(b - greatest(a, coalesce(p, a)), 0))::BIGINT AS covered_us FROM m GROUP BY region",
+)
+def covered_time(spark, d):
+    """Time with an event in the last ten minutes, by region: sets of stretches, united by a combine step of its own."""
+    begin = F.unix_micros(F.col("event_ts").cast("timestamp"))
+    rows = telemetry(spark, d).select("region", begin.alias("a"), (begin + COVER_US).alias("b"))
+    return fold(rows, ["region"], COVERED, "stretches bigint, covered_us bigint")
+
+
 @query("word_count", "A1 P21 S5", f"WITH {WORDS_SQL} SELECT word, count(*) AS n FROM words GROUP BY word")
 def word_count(spark, d):
     return K.word_count(table(spark, d, "documents"))

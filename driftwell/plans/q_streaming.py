@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from driftwell.plans import q_ticks as Q
 from driftwell.plans.catalog import query, table
 from driftwell.session import shared_dir
 from driftwell.streaming import ticks as S
+from driftwell.streaming.completion import completed_outcomes
+from driftwell.streaming.snapshots import KeyedSnapshot
 
 
 def _folder(spark, name):
@@ -30,6 +33,16 @@ def streamed_tick_demand(spark, d):
     return S.read_keyed(spark, out, ["zone_id", "tick"])
 
 
+@query("streamed_demand_snapshot", "T2 T12 S12", f"SELECT event_type AS zone_id, {Q.TICK} AS tick, count(*) AS n FROM events GROUP BY 1, 2")
+def streamed_demand_snapshot(spark, d):
+    """The same counts in a sink that is merged by key with every batch, each batch taken up once."""
+    out, check = _folder(spark, "snapshot"), _folder(spark, "snapshot-checkpoint")
+    counts = S.tick_counts(_events(spark, d), "event_type", "ts")
+    sink = KeyedSnapshot(spark, out, ("zone_id", "tick"), counts.schema)
+    S.run_merged(counts, sink, check, "update")
+    return sink.read()
+
+
 @query(
     "streamed_tick_scores",
     "T2 T3",
@@ -72,6 +85,46 @@ def streamed_outcomes(spark, d):
     return found.groupBy("kind", "decision", "used_fallback").agg(F.count(F.lit(1)).alias("n"))
 
 
+USER_ZONES = 20
+_COMPLETION = T.TickConfig(completion_fraction=0.75, tick_timeout_s=2.0)
+_ZONE_SQL = (
+    f"z AS (SELECT DISTINCT concat('U', CAST(user_id % {USER_ZONES} AS VARCHAR)) AS zone_id FROM events), "
+    f"g AS (SELECT zone_id, tick FROM z CROSS JOIN (SELECT unnest(generate_series((SELECT min({Q.TICK}) FROM events), (SELECT max({Q.TICK}) FROM events), INTERVAL 15 MINUTE)) AS tick)), "
+    f"rep AS (SELECT concat('U', CAST(user_id % {USER_ZONES} AS VARCHAR)) AS zone_id, {Q.TICK} AS tick, CASE WHEN value > 50 THEN 'NEED' ELSE 'OK' END AS decision, round(value / 25.0::DOUBLE * 1000000)::BIGINT AS us, event_id AS seq FROM events), "
+    "fr AS (SELECT * EXCLUDE k FROM (SELECT *, row_number() OVER (PARTITION BY zone_id, tick ORDER BY us, seq) AS k FROM rep) WHERE k = 1), "
+    "od AS (SELECT *, row_number() OVER (PARTITION BY tick ORDER BY us, zone_id) AS k FROM fr), "
+    f"cl AS (SELECT tick, least(coalesce(min(us) FILTER (WHERE k >= {math.ceil(0.75 * USER_ZONES)}), 2000000), 2000000) AS close_us FROM od GROUP BY 1), "
+    "x AS (SELECT g.zone_id, g.tick, o.decision FROM g LEFT JOIN (SELECT f.* FROM fr f JOIN cl USING (tick) WHERE f.us <= cl.close_us) o ON o.zone_id = g.zone_id AND o.tick = g.tick), "
+    "a AS (SELECT zone_id, tick, coalesce(decision, last_value(decision IGNORE NULLS) OVER (PARTITION BY zone_id ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 'OK') AS decision, decision IS NULL AS used_fallback FROM x)"
+)
+
+
+@query(
+    "streamed_completion",
+    "T7 T4 T5 T6 W7 W8 W9",
+    f"WITH {_ZONE_SQL} SELECT zone_id, tick::TIMESTAMP AS tick, 'accepted' AS kind, decision, used_fallback, 1::BIGINT AS n FROM a "
+    "UNION ALL SELECT r.zone_id, r.tick, CASE WHEN r.us > c.close_us THEN 'late' ELSE 'duplicate' END, r.decision, false, count(*) FROM rep r JOIN fr f ON f.zone_id = r.zone_id AND f.tick = r.tick JOIN cl c ON c.tick = r.tick WHERE r.us > c.close_us OR r.seq <> f.seq GROUP BY ALL",
+)
+def streamed_completion(spark, d):
+    """Ticks of twenty zones, closed by three quarters of them or by time, from several files out of order."""
+    spark.conf.set(S.STATE_STORE, S.ROCKSDB)
+    events = table(spark, d, "events")
+    zone = F.concat(F.lit("U"), (F.col("user_id") % USER_ZONES).cast("string"))
+    counts = T.tick_demand(events.withColumn("zone", zone), "zone", "ts")
+    grid = T.dense_demand(counts, counts.select("zone_id").distinct())
+    decision = F.when(F.col("value") > 50, "NEED").otherwise("OK").alias("decision")
+    sent = events.select(zone.alias("zone_id"), T.tick_of("ts").alias("tick"), decision, (F.col("value") / 25.0).alias("latency_s"), F.col("event_id").alias("seq"))
+    source, out, check = (_folder(spark, n) for n in ("completion", "completed", "completed-checkpoint"))
+    late = S.write_deliveries(S.replay_input(grid, sent), source, 4)
+    stream = S.read_stream(spark, f"{source}/delivery=*", S.REPORT_FIELDS, 1)
+    run = S.run_to_sink(completed_outcomes(stream, late, USER_ZONES, _COMPLETION), out, check)
+    if lost := S.dropped_rows(run):
+        raise RuntimeError(f"{lost} rows came too late")
+    found = spark.read.parquet(out)
+    keys = ["zone_id", F.col("tick").cast("timestamp_ntz").alias("tick"), "kind", "decision", "used_fallback"]
+    return found.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "streamed_first_reports",
     "T5",

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from driftwell.operators.ticks import TickConfig, score
+from driftwell.streaming.snapshots import KeyedSnapshot
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -54,9 +57,52 @@ def drop_repeats(reports: DataFrame, late: str | None = None) -> DataFrame:
     return reports.withWatermark("arrival", late).dropDuplicatesWithinWatermark(["zone_id", "tick"])
 
 
-def dropped_rows(run: StreamingQuery) -> int:
-    """Rows of a finished run that came too late for their state."""
-    return sum(s.get("numRowsDroppedByWatermark", 0) for p in run.recentProgress for s in p["stateOperators"])
+class DropCounter(StreamingQueryListener):
+    """Rows that came too late for their state, over all batches of a run."""
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+        self.lock = threading.Lock()
+
+    def end_of(self, run: str) -> threading.Event:
+        with self.lock:
+            return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self.end_of(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p, run = event.progress, str(event.progress.runId)
+        self.dropped[run] = self.dropped.get(run, 0) + sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        self.batches[run] = self.batches.get(run, 0) + 1
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.end_of(str(event.runId)).set()
+
+
+_COUNTERS: dict[str, DropCounter] = {}
+
+
+def drop_counter(spark: SparkSession) -> DropCounter:
+    """The counter of a session; it listens from the first call on."""
+    app = spark.sparkContext.applicationId
+    if app not in _COUNTERS:
+        _COUNTERS[app] = DropCounter()
+        spark.streams.addListener(_COUNTERS[app])
+    return _COUNTERS[app]
+
+
+def dropped_rows(run: StreamingQuery, wait_s: float = 60) -> int:
+    """Rows of a finished run of :func:`run_to_sink` that came too late for their state, in any of its batches."""
+    counter = drop_counter(SparkSession.active())
+    if not counter.end_of(str(run.runId)).wait(wait_s):
+        raise RuntimeError("the run has not ended")
+    return counter.dropped.get(str(run.runId), 0)
 
 
 # ---- state per zone ---------------------------------------------------------
@@ -202,6 +248,28 @@ def replay_input(grid: DataFrame, reports: DataFrame) -> DataFrame:
     return markers.unionByName(rows)
 
 
+def write_deliveries(rows: DataFrame, path: str, deliveries: int) -> str:
+    """Writes a replay as ``deliveries`` folders that come one after the other, out of order inside and with a part of
+    the rows one delivery late; a marker far ahead ends the last. Returns the lateness that loses no row."""
+    spark = rows.sparkSession
+    seconds = F.unix_seconds("arrival")
+    begin, end = rows.agg(F.min(seconds), F.max(seconds)).first()
+    width = max(1, -(-((end or 0) - (begin or 0) + 1) // deliveries))
+    late = 2 * width + 1
+    behind = F.pmod(F.xxhash64("zone_id", "tick", "seq"), F.lit(5)) == 0
+    place = F.floor((seconds - (begin or 0)) / width) + behind.cast("int")
+    dealt = rows.withColumn("delivery", F.least(place, F.lit(deliveries - 1)).cast("int"))
+    last = F.timestamp_seconds(F.lit((end or 0) + 2 * late))
+    ended = spark.range(1).select(
+        F.lit("").alias("zone_id"), last.alias("tick"), F.lit("end").alias("kind"), F.lit(None).cast("string").alias("decision"), last.alias("arrival"), F.lit(-1).cast("bigint").alias("seq")
+    )
+    for k in range(deliveries):
+        part = dealt.where(F.col("delivery") == k).drop("delivery")
+        part.write.parquet(f"{path}/delivery={k}")
+    ended.write.parquet(f"{path}/delivery={deliveries}")
+    return f"{late} seconds"
+
+
 # ---- sinks ------------------------------------------------------------------
 
 
@@ -225,8 +293,22 @@ def read_keyed(spark: SparkSession, path: str, keys: list[str], keep: str = "las
 
 def run_to_sink(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process what is there into a keyed sink and return when done."""
+    return _run(stream, keyed_sink(path), checkpoint, mode)
+
+
+def run_merged(stream: DataFrame, sink: KeyedSnapshot, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Process what is there into a merged snapshot and return when done."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sink.merge(batch, batch_id)
+
+    return _run(stream, write, checkpoint, mode)
+
+
+def _run(stream: DataFrame, write, checkpoint: str, mode: str) -> StreamingQuery:
+    drop_counter(stream.sparkSession)
     query = (
-        stream.writeStream.foreachBatch(keyed_sink(path))
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .outputMode(mode)
         .trigger(availableNow=True)

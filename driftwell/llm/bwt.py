@@ -214,7 +214,9 @@ def repeats(rows: DataFrame) -> DataFrame:
     sampled = rows.mapInArrow(per_batch(lambda: _sampled), _schema(key, at=long, anchor=long, extent=long))
     # 1: intervals of anchors
     counted = sampled.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
-    hits = pin(sampled.join(pin(counted, "anchors"), "anchor", "left_semi").distinct(), "hits")
+    hits = sampled.join(pin(counted, "anchors"), "anchor", "left_semi")
+    # a place has one anchor; keys without the anchor let Spark split the join
+    hits = pin(hits.groupBy("k", "at").agg(F.first("anchor").alias("anchor"), F.first("extent").alias("extent")), "hits")
     # 2: intervals of extents
     first = F.min(F.struct("k", "at")).alias("first")
     extents = pin(hits.groupBy("anchor", "extent").agg(first, F.count(F.lit(1)).alias("n")), "extents")

@@ -10,9 +10,10 @@ from driftwell.operators import counting as K
 from driftwell.operators import profile as P
 from driftwell.operators.prefix import global_row_number
 from driftwell.plans.catalog import query, table
-from driftwell.plans.roles import both_slices
+from driftwell.plans.roles import TRIPS_SQL, both_slices, trips
 from driftwell.session import shared_dir
 from driftwell.sources import sinks, slices
+from driftwell.sources.months import read_months, write_months
 
 
 def _folder(spark, name):
@@ -169,3 +170,17 @@ def schema_tables(spark, d):
     kinds = P.schema_dtypes(df, _EXPECTED).withColumn("status", F.lit("present"))
     both = kinds.unionByName(P.schema_presence(df, tuple(_EXPECTED)), allowMissingColumns=True).na.fill(False)
     return both.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("rows"))))  # one row
+
+
+@query(
+    "pruned_months",
+    "S1 S2 S3",
+    f"WITH {TRIPS_SQL} SELECT year(lpep_pickup_datetime)::INT AS slice_year, month(lpep_pickup_datetime)::INT AS slice_month, count(*) AS rows, round(sum(fare_amount), 2) AS fares "
+    "FROM trips WHERE year(lpep_pickup_datetime) IN (1995, 1996) AND month(lpep_pickup_datetime) <= 6 GROUP BY 1, 2",
+)
+def pruned_months(spark, d):
+    """Trips stored by month; the first halves of two years are read without opening another month."""
+    path = _folder(spark, "months")
+    write_months(trips(spark, d).select("trip_id", "lpep_pickup_datetime", "fare_amount"), path, "lpep_pickup_datetime")
+    df = read_months(spark, path, [(y, m) for y in (1995, 1996) for m in range(1, 7)])
+    return df.groupBy("slice_year", "slice_month").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("fare_amount"), 2).alias("fares"))

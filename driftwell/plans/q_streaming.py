@@ -139,20 +139,39 @@ def streamed_first_reports(spark, d):
     return found.groupBy("zone_id", F.col("tick").cast("timestamp_ntz").alias("tick")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("slice_trigger", "T11", "SELECT year(l_shipdate)::INT AS slice_year, count(*) AS rows FROM lineitem GROUP BY 1")
+@query("slice_trigger", "T11", "SELECT year(l_shipdate)::INT AS slice_year, count(*) AS rows, count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1")
 def slice_trigger(spark, d):
-    """Every yearly slice that appears in a folder starts the profile job; results go to a keyed sink."""
-    landing, out, check = (_folder(spark, n) for n in ("landing", "profiles", "profiles-checkpoint"))
+    """Every yearly slice starts the profile job once it is whole, on all its files; distinct counts of parts would
+    not add up."""
+    landing, markers, out, check = (_folder(spark, n) for n in ("landing", "markers", "profiles", "profiles-checkpoint"))
     made = table(spark, d, "lineitem").select("l_orderkey", "l_quantity", "l_shipdate", F.year("l_shipdate").alias("slice_year"))
     # ranges of (year, key): a large year is spread over several tasks and files
     made.repartitionByRange("slice_year", "l_orderkey").write.partitionBy("slice_year").parquet(landing)
-    stream = S.read_stream(spark, landing, spark.read.parquet(landing).schema, files_per_batch=2)
+    for (year,) in spark.read.parquet(landing).select("slice_year").distinct().orderBy("slice_year").collect():
+        S.finish_slice(spark, markers, str(year), f"{landing}/slice_year={year}")
 
-    def job(batch, batch_id):
-        rows = batch.groupBy("slice_year").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("l_quantity").isNull()).alias("missing"))
-        S.keyed_sink(out)(rows, batch_id)
+    def job(name, rows):
+        counts = rows.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("l_orderkey").alias("orders"))
+        counts.write.mode("overwrite").parquet(f"{out}/slice_year={name}")
 
-    S.on_new_slice(stream, job, check)
-    # a slice may arrive in several files, hence several batches
-    return spark.read.parquet(out).groupBy("slice_year").agg(F.sum("rows").alias("rows"))
+    S.on_whole_slice(spark, markers, job, check)
+    return spark.read.parquet(out).select(F.col("slice_year").cast("int").alias("slice_year"), "rows", "orders")
 
+
+@query(
+    "streamed_withheld_demand",
+    "T10",
+    f"WITH {Q.PREP_SQL} SELECT a.zone_id, a.tick, a.n, b.n::DOUBLE AS visible_n FROM rp a LEFT JOIN rp b ON b.zone_id = a.zone_id AND b.tick = a.tick - INTERVAL 45 MINUTE",
+)
+def streamed_withheld_demand(spark, d):
+    """Demand beside what was visible then, three ticks late, as a join of a stream with itself; the last delivery is a
+    marker far ahead, so the open end comes out as well."""
+    source, out, check = (_folder(spark, n) for n in ("withheld", "seen", "seen-checkpoint"))
+    made = Q.demand(spark, d, "replay").select("zone_id", F.col("tick").cast("timestamp").alias("tick"), "n", F.col("tick").cast("timestamp").alias("arrival"), F.lit("tick").alias("kind"), F.lit(None).cast("string").alias("decision"), F.col("n").alias("seq"))
+    late = S.write_deliveries(made.drop("n"), source, 3)
+    rows = S.read_stream(spark, f"{source}/delivery=*", S.REPORT_FIELDS, 1).select("zone_id", "tick", F.col("seq").alias("n"))
+    run = S.run_to_sink(S.withheld_stream(rows, 3, late), out, check)
+    if lost := S.dropped_rows(run):
+        raise RuntimeError(f"{lost} rows came too late")
+    found = spark.read.parquet(out).where("zone_id <> ''")  # not the marker
+    return found.select("zone_id", F.col("tick").cast("timestamp_ntz").alias("tick"), "n", F.col("visible_n").cast("double").alias("visible_n"))

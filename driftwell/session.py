@@ -55,5 +55,21 @@ def pin(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _PINNED.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_PINNED: dict[str, list[str]] = {}  # application -> folders that pin wrote
+
+
+def release_pins(spark: SparkSession) -> int:
+    """Removes all that :func:`pin` wrote in this application, and gives the number of folders. To be called after the
+    results that read them are written; frames made before that cannot be read any more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _PINNED.pop(spark.sparkContext.applicationId, [])
+    for text in paths:
+        path = jvm.org.apache.hadoop.fs.Path(text)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)

@@ -21,15 +21,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def load_slice(spark: SparkSession, path: str, times: Sequence[str] = (PICKUP, DROPOFF)) -> DataFrame:
-    """A parquet or CSV slice by suffix, times coerced, NaN as NULL."""
+def load_slice(spark: SparkSession, path: str, times: Sequence[str] = (PICKUP, DROPOFF), schema: str | T.StructType | None = None) -> DataFrame:
+    """A parquet or CSV slice by suffix, times coerced, NaN as NULL. With ``schema`` a CSV is read once; without it
+    a first pass finds the types."""
     if not _exists(spark, path):
         raise FileNotFoundError(f"Missing data file: {path}")
     suffix = PurePosixPath(path).suffix.lower()
     if suffix == ".parquet":
         df = spark.read.parquet(path)
     elif suffix == ".csv":
-        df = spark.read.csv(path, header=True, inferSchema=True)
+        df = spark.read.csv(path, header=True, schema=schema) if schema else spark.read.csv(path, header=True, inferSchema=True)
     else:
         raise ValueError(f"Unsupported file type: {suffix} (expected .parquet or .csv)")
     text = [c for c in times if c in df.columns and isinstance(df.schema[c].dataType, T.StringType)]

@@ -44,6 +44,17 @@ def tick_counts(stream: DataFrame, zone: str, ts: str, minutes: int = 15, late:
     return counts.select("zone_id", F.col("window.start").cast("timestamp_ntz").alias("tick"), "n")
 
 
+def withheld_stream(demand: DataFrame, ticks: int, late: str, minutes: int = 15) -> DataFrame:
+    """``zone_id, tick, n, visible_n`` of a stream of demand: beside each row what has become visible at its tick,
+    ``ticks`` ticks late. Both sides wait for each other only as long as the watermark is behind them."""
+    shift = F.expr(f"INTERVAL {int(ticks) * int(minutes)} MINUTES")
+    seen = demand.select("zone_id", "tick", "n").withWatermark("tick", late)
+    released = demand.select(F.col("zone_id").alias("_zone"), (F.col("tick") + shift).alias("_tick"), F.col("n").alias("visible_n"))
+    released = released.withWatermark("_tick", late)
+    same = (F.col("zone_id") == F.col("_zone")) & (F.col("tick") == F.col("_tick"))
+    return seen.join(released, same, "leftOuter").select("zone_id", "tick", "n", "visible_n")
+
+
 def score_stream(counts: DataFrame, base: DataFrame, factor: float = 1.5) -> DataFrame:
     """Decision per closed (zone, tick): a stream joined with the static norm table."""
     return score(counts, base, factor).select("zone_id", "tick", "n", "mean_n", "decision")
@@ -318,8 +329,29 @@ def _run(stream: DataFrame, write, checkpoint: str, mode: str) -> StreamingQuery
     return query
 
 
+MARKER_FIELDS = "slice string, path string"
+
+
+def finish_slice(spark: SparkSession, markers: str, name: str, path: str) -> None:
+    """Tells that the slice ``name`` in the folder ``path`` is whole; to be called after its last file is written."""
+    spark.createDataFrame([(name, path)], MARKER_FIELDS).coalesce(1).write.mode("append").json(markers)
+
+
+def on_whole_slice(spark: SparkSession, markers: str, job, checkpoint: str) -> StreamingQuery:
+    """Runs ``job(name, rows)`` once for every slice that :func:`finish_slice` has told of, on all files of it,
+    however many they are and whenever they came. A run that fails is repeated with the same slices."""
+    stream = spark.readStream.schema(MARKER_FIELDS).json(markers)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        for r in batch.dropDuplicates(["slice"]).orderBy("slice").collect():  # one row a slice
+            job(r["slice"], batch.sparkSession.read.parquet(r["path"]))
+
+    return _run(stream, each, checkpoint, "append")
+
+
 def on_new_slice(stream: DataFrame, job, checkpoint: str) -> StreamingQuery:
-    """Run ``job(slice, batch_id)`` for every newly arrived slice."""
+    """Run ``job(rows, batch_id)`` for the newly arrived files, as they come; a slice of several files may come in
+    parts (:func:`on_whole_slice` waits for all of them)."""
     query = (
         stream.writeStream.foreachBatch(job).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )

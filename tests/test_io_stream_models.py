@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from driftwell.functions.columns import PICKUP, tip_frame
+from driftwell.operators import boosting as B
 from driftwell.operators import metrics as M
 from driftwell.operators import models as L
 from driftwell.operators import ticks as T
@@ -224,9 +225,8 @@ def test_curve_and_search(spark):
     assert curve.count() == 4 and L.best_iteration(curve) == 3
     _, auc = L.refit_at_best(df, df, ["x"], 3, "y", size)
     assert auc == 1.0
-    found = L.cv_search(df, ["x"], "fold", "y", trials=2, trees=2)
+    found = B.cross_validate(df, ["x"], "fold", "y", B.random_trials(2), 2)
     assert found.count() == 4 and M.cv_trial_summary(found).where("score > 0.99").count() == 2
-    assert L.random_trials(3, 1) == L.random_trials(3, 1)
 
 
 def config(**change):

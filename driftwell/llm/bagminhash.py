@@ -17,7 +17,7 @@ deviations below four fifths) are out, the rest is verified on the whole multise
 maxima, ``SIMILAR`` or more).
 
 Links make classes. As long as the pairs of different classes in all buckets outnumber the texts
-``PAIRS_PER_TEXT`` times and rounds lessen them by a tenth, they are not listed: a round compares one pivot
+``PAIRS_PER_TEXT`` times and rounds halve them, they are not listed: a round compares one pivot
 of each bucket, not a weak one, with its members in other classes, and buckets whose members have come into
 one class are done. Then all pairs that are left are looked at in blocks: the members of a bucket are dealt to
 blocks of about ``BLOCK`` by hash, two blocks at a time meet in a task with their texts, and only links leave
@@ -52,6 +52,7 @@ MAX_ROUNDS = 12
 PAIRS_PER_TEXT = 2
 BLOCK = 64
 PAIRS_AT_ONCE = 2000
+ROWS_PER_FILE = 500_000
 
 U = np.uint64
 _SHORT = constants("short shingle", SHINGLE)
@@ -113,6 +114,11 @@ def signatures(text: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int)
 
 
 def _band_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+    """Rows of the different texts of a batch: copies are signed once."""
+    names = np.stack([batch.column(0).field(c).to_numpy() for c in ("a", "b")], axis=1)
+    once = np.unique(names, axis=0, return_index=True)[1]
+    if len(once) < len(names):
+        batch = batch.take(pa.array(np.sort(once)))
     text, value, weight, n = shingles(batch.column(1))
     some = np.unique(text)
     if not len(some):
@@ -161,102 +167,6 @@ def similar(left: pa.Array, right: pa.Array) -> np.ndarray:
     return (SIMILAR[1] * low >= SIMILAR[0] * high) & (high > 0)
 
 
-NODE = constants("points", 2)
-
-
-def shingles(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Distinct shingles of each text: text index, hash, count; and the number of texts."""
-    data, offsets = flat(column)
-    words = Words(data, offsets)
-    n, hashes, counts = len(offsets) - 1, words.hashes(), words.counts()
-    doc = np.repeat(np.arange(n), counts)
-    runs = window_hashes(hashes, SHINGLE, "shingle")
-    own = np.flatnonzero(doc[: len(runs)] == doc[SHINGLE - 1 :]) if len(runs) else np.empty(0, np.int64)
-    short = np.flatnonzero((counts > 0) & (counts < SHINGLE))
-    few = np.zeros(len(short), U)
-    for j in range(SHINGLE - 1):
-        has = counts[short] > j
-        few[has] += hashes[words.first[short[has]] + j] * _SHORT[j]
-    text = np.concatenate([doc[own], short])
-    value = np.concatenate([runs[own], mix64(few + counts[short].astype(U))])
-    _, first, times = np.unique(mix64(value + text.astype(U) * _TEXT), return_index=True, return_counts=True)
-    return text[first], value[first], times, n
-
-
-def signatures(text: np.ndarray, value: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-    """BagMinHash signatures (n x SIGNATURE) of weighted elements; texts without elements have none (0)."""
-    highest = np.ceil(np.log2(np.maximum(weight, 1))).astype(np.int64)  # intervals 0 .. highest
-    which = np.repeat(np.arange(len(text)), highest + 1)
-    interval = np.arange(len(which)) - np.repeat(np.cumsum(highest + 1) - highest - 1, highest + 1)
-    text, value, weight = text[which], value[which], weight[which]
-    base = np.where(interval > 0, 1 << np.maximum(interval - 1, 0), 0)
-    width = np.maximum(base, 1)
-    seed = mix64(value + interval.astype(U) * _NODE)
-    at = np.zeros(len(text))
-    kept = np.full(n * SIGNATURE, np.inf)
-    winner = np.zeros(n * SIGNATURE, U)
-    limit = np.full(n, np.inf)
-    step = 0
-    while len(text):
-        step += 1
-        gap = mix64(seed + U(step * int(_STEP) % (1 << 64)))
-        at = at - np.log(((gap >> U(11)).astype(float) + 0.5) / (1 << 53)) / width
-        go = at < limit[text]
-        if not go.all():
-            text, weight, base, width, seed, at, gap = (x[go] for x in (text, weight, base, width, seed, at, gap))
-        pick = mix64(gap ^ _NODE)
-        level = base + ((pick >> U(32)).astype(np.int64) & (width - 1))
-        slot = text * SIGNATURE + (pick & U(0xFFFFFFFF)).astype(np.int64) % SIGNATURE
-        hit = (level < weight) & (at < kept[slot])
-        np.minimum.at(kept, slot[hit], at[hit])
-        won = np.flatnonzero(hit)[at[hit] == kept[slot[hit]]]
-        winner[slot[won]] = pick[won]
-        busy = np.unique(text) if step > 4 else np.arange(n)
-        limit[busy] = kept.reshape(n, SIGNATURE)[busy].max(axis=1)
-    return winner.reshape(n, SIGNATURE)
-
-
-def _band_rows(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-    text, value, weight, n = shingles(batch.column(1))
-    some = np.unique(text)
-    if not len(some):
-        return None
-    signed = signatures(text, value, weight, n)[some]
-    buckets = np.stack(
-        [mix64((signed[:, b * ROWS : (b + 1) * ROWS] * _BAND[b]).sum(axis=1) + U(b)) for b in range(BANDS)], axis=1
-    )
-    node = batch.column(0).take(pa.array(np.repeat(some, BANDS)))
-    first = np.arange(len(some) * BANDS) % BANDS > 0  # a text's first row carries what is said of the text
-    low = np.zeros((len(some), MARK * NIBBLES), U)
-    low[:, :SIGNATURE] = signed & U(15)
-    shifts = U(4) * np.arange(NIBBLES, dtype=U)
-    marks = (low.reshape(len(some), MARK, NIBBLES) << shifts).sum(axis=2, dtype=U).view(np.int64)
-    total = np.bincount(text, weights=weight, minlength=n)[some].astype(np.int64)
-    lists = lambda x: pa.array(list(x), pa.list_(pa.int64())).take(
-        pa.array(np.repeat(np.arange(len(some)), BANDS), mask=first)
-    )
-    flat_buckets = buckets.view(np.int64)
-    arrays = [node, pa.array(np.tile(np.arange(BANDS, dtype=np.int32), len(some))), pa.array(flat_buckets.ravel())]
-    arrays += [lists(marks), lists(flat_buckets), pa.array(np.repeat(total, BANDS), mask=first)]
-    return pa.RecordBatch.from_arrays(arrays, names=["node", "band", "bucket", "mark", "bands", "total"])
-
-
-def similar(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """Which pairs of texts have a weighted Jaccard similarity of four fifths or more."""
-    a_text, a_value, a_weight, n = shingles(left)
-    b_text, b_value, b_weight, _ = shingles(right)
-    keys = np.concatenate([mix64(a_value + a_text.astype(U) * _TEXT), mix64(b_value + b_text.astype(U) * _TEXT)])
-    _, place = np.unique(keys, return_inverse=True)
-    size = int(place.max()) + 1 if len(place) else 0
-    weights = np.zeros((2, size), np.int64)
-    pair = np.zeros(size, np.int64)
-    weights[0, place[: len(a_text)]], weights[1, place[len(a_text) :]] = a_weight, b_weight
-    pair[place] = np.concatenate([a_text, b_text])
-    low = np.bincount(pair, weights=weights.min(axis=0), minlength=n)
-    high = np.bincount(pair, weights=weights.max(axis=0), minlength=n)
-    return (SIMILAR[1] * low >= SIMILAR[0] * high) & (high > 0)
-
-
 NODE = "struct<a:bigint,b:bigint>"
 
 
@@ -270,17 +180,54 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), text.alias("text"), node(text).alias("node"))
 
 
+def gathered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once, then in as few files as its rows need: Spark sees the true size of a small table,
+    and steps that follow do not open a file for each task that wrote it."""
+    out = pin(df, name)
+    return pin(out.coalesce(max(1, -(-out.count() // ROWS_PER_FILE))), name)
+
+
+def _stars(batches):
+    """The links of a task, shortened: each node linked with the smallest one that it reaches in this task."""
+    held = list(batches)
+    if not held:
+        return
+    table = pa.Table.from_batches(held).combine_chunks()
+    ends = [np.stack([table.column(c).combine_chunks().field(k).to_numpy() for k in ("a", "b")], axis=1) for c in ("x", "y")]
+    nodes, place = np.unique(np.concatenate(ends), axis=0, return_inverse=True)  # in the order of nodes
+    x, y = place.reshape(2, -1)
+    low = np.arange(len(nodes))
+    while True:
+        least = np.minimum(low[x], low[y])
+        now = low.copy()
+        for end in (low[x], low[y], x, y):
+            np.minimum.at(now, end, least)
+        now = now[now]
+        if (now == low).all():
+            break
+        low = now
+    far = np.flatnonzero(low != np.arange(len(nodes)))
+    both = [pa.StructArray.from_arrays([pa.array(nodes[i, 0]), pa.array(nodes[i, 1])], ["a", "b"]) for i in (far, low[far])]
+    yield pa.RecordBatch.from_arrays(both, names=["x", "y"])
+
+
 def components(links: DataFrame) -> DataFrame:
-    """``node, label``: smallest node of each connected component of ``links`` (x, y)."""
-    both = pin(links.select("x", "y").union(links.select("y", "x")).where("x <> y").distinct(), "links")
-    labels = pin(both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("x")).alias("label")), "labels")
+    """``node, label``: smallest node of each connected component of ``links`` (x, y).
+
+    Links are gathered in files of ``ROWS_PER_FILE`` and shortened in each; what spans files is found by rounds in
+    which every node takes the smallest label around it, and the label of its label."""
+    links = gathered(links.select("x", "y").where("x <> y").distinct(), "links")
+    links = links.mapInArrow(_stars, f"x {NODE}, y {NODE}")
+    both = gathered(links.union(links.select("y", "x")).distinct(), "links")
+    labels = both.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.col("x")).alias("label"))
+    labels = gathered(labels, "labels")
     while True:
         nearby = both.join(labels, both.y == labels.node).groupBy("x").agg(F.min("label").alias("low"))
         low = labels.join(nearby, labels.node == nearby.x).select("node", F.least("label", "low").alias("mid"), "label")
         jump = labels.select(F.col("node").alias("mid"), F.col("label").alias("far"))
         # the label of a label is at least as small
         now = low.join(jump, "mid").select("node", F.least("mid", "far").alias("label"), F.col("label").alias("was"))
-        now = pin(now, "labels")
+        now = gathered(now, "labels")
         labels = now.select("node", "label")
         if now.where("label <> was").isEmpty():
             return labels
@@ -439,8 +386,9 @@ def classes(rows: DataFrame) -> DataFrame:
     bands = pin(rows.select("node", "text").mapInArrow(per_batch(lambda: _band_rows), schema), "bands")
     texts = bands.where("mark is not null")
     shared = bands.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    shared = bands.select("bucket", "band", "node").join(shared.select("bucket"), "bucket", "left_semi").distinct()
-    shared = pin(shared, "shared")
+    shared = bands.select("bucket", "band", "node").join(shared.select("bucket"), "bucket", "left_semi")
+    # a text has one bucket in a band; keys without the bucket let Spark split the join
+    shared = pin(shared.groupBy("node", "band").agg(F.first("bucket").alias("bucket")), "shared")
     nodes = shared.select("node").distinct()
     # equal texts share a node, and one text of each node is enough
     known = rows.select("node", "text").join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
@@ -455,7 +403,7 @@ def classes(rows: DataFrame) -> DataFrame:
     members = pin(_open(shared.join(marks.withColumn("label", F.col("node")), "node")), "members")
     every = False
     while not every and (pairs := _pairs(members)):
-        every = step == MAX_ROUNDS or pairs <= most or pairs > 0.9 * last
+        every = step == MAX_ROUNDS or pairs <= most or pairs > last / 2
         if every:
             links = _blocks(members, known).mapInArrow(per_batch(lambda: _block_links), f"x {NODE}, y {NODE}")
         else:

@@ -1,4 +1,5 @@
-"""Spark ML jobs over the trip role. No SQL form; checked by rows here and by tests on small frames.
+"""Spark ML jobs over the trip role. Fits have no SQL form; conditions that a right fit meets do, and the others are
+checked by rows here and by tests on small frames.
 
 Every job is registered at the sizes of the reference procedure, which are the
 defaults of the library, over all features.
@@ -8,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from driftwell.functions.columns import DROPOFF, PICKUP, tip_frame, with_abs_error
+from driftwell.functions.columns import DROPOFF, PICKUP, ints_to_double, tip_frame, with_abs_error
 from driftwell.operators import boosting as B
 from driftwell.operators import metrics as M
 from driftwell.operators import models as L
@@ -17,7 +18,7 @@ from driftwell.operators.profile import GateRules
 from driftwell.operators.sampling import random_split, stratified_folds, stratified_split
 from driftwell.plans.catalog import query
 from driftwell.plans.monitoring import MonitorConfig, run_monitoring
-from driftwell.plans.roles import TRIPS_SQL, both_slices, trips
+from driftwell.plans.roles import SLICES_SQL, TRIPS_SQL, both_slices, trips
 from driftwell.plans.store import ModelStore
 from driftwell.session import pin, shared_dir
 
@@ -77,6 +78,72 @@ def validation_curve(spark, d):
     return L.validation_curve(model, parts.where("part = 'test'"))
 
 
+_CARD_SQL = "SELECT *, coalesce(tip_amount, 0) AS y FROM trips WHERE payment_type = 1"
+
+
+@query(
+    "ridge_optimality",
+    "M3",
+    f"WITH {TRIPS_SQL}, t AS ({_CARD_SQL}) SELECT count(*) AS rows, 0::DOUBLE AS worst_slope, round(avg(y), 6) AS mean_prediction FROM t",
+)
+def ridge_optimality(spark, d):
+    """At the optimum of the penalised squares no coefficient has a slope left (against the sizes of column and label),
+    and the mean prediction is the mean label."""
+    df, features = _tips(spark, d)
+    table, model = L.ridge(df, features)
+    weights = {r["feature"]: r["coefficient"] for r in table.collect()}  # one row a column
+    scored = model.transform(ints_to_double(df.select(*features, "y")))
+    left = F.col("y") - F.col("y_pred")
+    x = {c: F.col(f"{c}__f") for c in features}
+    slopes = [
+        F.abs(F.sum(left * x[c]) - weights[c]) / F.sqrt(F.greatest(F.sum(x[c] * x[c]) * F.sum(F.col("y") * F.col("y")), F.lit(1.0)))
+        for c in features
+    ]
+    worst = F.round(F.greatest(*slopes), 3)  # the solver stops at a tolerance if columns depend on each other
+    return scored.agg(F.count(F.lit(1)).alias("rows"), worst.alias("worst_slope"), F.round(F.avg("y_pred"), 6).alias("mean_prediction"))
+
+
+@query(
+    "tree_leaf_means",
+    "M1",
+    f"WITH {SLICES_SQL}, t AS ({_CARD_SQL.replace('FROM trips', 'FROM ref')}) "
+    "SELECT count(*) AS rows, round(avg(y), 6) AS mean_prediction, 0::BIGINT AS small_leaves, 0::BIGINT AS wrong_leaves FROM t",
+)
+def tree_leaf_means(spark, d):
+    """Every leaf of the fitted tree has two hundred training rows or more and predicts their mean."""
+    train, features = tip_frame(both_slices(spark, d)[0])
+    scored = L.score(L.fit_tree(train, features), train, ["y"])
+    leaves = scored.groupBy("y_pred").agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("mean"))
+    return leaves.agg(
+        F.sum("n").alias("rows"),
+        F.round(F.sum(F.col("n") * F.col("y_pred")) / F.sum("n"), 6).alias("mean_prediction"),
+        F.count_if(F.col("n") < 200).alias("small_leaves"),
+        F.count_if(F.abs(F.col("mean") - F.col("y_pred")) > 1e-9).alias("wrong_leaves"),
+    )
+
+
+_WHOLE_COLUMNS = ("fare_amount", "total_amount", "tolls_amount", "PULocationID", "DOLocationID", "RatecodeID")
+_CORRELATIONS = " + ".join(f"2 * pow(corr({a}, {b}), 2)" for i, a in enumerate(_WHOLE_COLUMNS) for b in _WHOLE_COLUMNS[i + 1 :])
+
+
+@query(
+    "component_spectrum",
+    "M7 P25",
+    f"WITH {TRIPS_SQL} SELECT {len(_WHOLE_COLUMNS)}::BIGINT AS components, 1::DOUBLE AS ratios, round(({len(_WHOLE_COLUMNS)} + {_CORRELATIONS}) / {len(_WHOLE_COLUMNS) ** 2}, 8) AS squares, 0::DOUBLE AS worst_product FROM trips",
+)
+def component_spectrum(spark, d):
+    """Explained shares add up to one, their squares to the squared correlations, and loadings are orthonormal."""
+    variance, loadings = L.principal_components(trips(spark, d), _WHOLE_COLUMNS)
+    pairs = loadings.alias("a").join(loadings.alias("b"), "feature").groupBy("a.component", "b.component")  # columns squared
+    product = F.sum(F.col("a.loading") * F.col("b.loading")) - (F.first("a.component") == F.first("b.component")).cast("int")
+    worst = pairs.agg(F.abs(product).alias("p")).agg(F.round(F.max("p"), 8))
+    return variance.agg(
+        F.count(F.lit(1)).alias("components"),
+        F.round(F.sum("ratio"), 8).alias("ratios"),
+        F.round(F.sum(F.col("ratio") * F.col("ratio")), 8).alias("squares"),
+    ).withColumn("worst_product", worst.scalar())
+
+
 @query("svc_grid", "M5")
 def svc_grid(spark, d):
     df, names = _paid(spark, d)

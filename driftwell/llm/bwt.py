@@ -10,9 +10,10 @@ merged order of all shards are refined from coarse to fine, and only those still
 2. the extent, all strings that belong to an occurrence of the anchor: intervals of two or more repeat
    wholly; an anchor with one extent only ends here;
 3. bytes: of each different extent of an anchor one suffix is taken, with the bytes that follow and
-   precede it. Each batch of documents lists its own in order (its transform); tasks merge the lists of all
-   shards by iterative interleave refinement, which gives common prefixes and repeated intervals (see
-   ``interleave``), without sorting suffixes again.
+   precede it. Each batch of documents lists its own in order (its transform); tasks gather the lists of all
+   shards by anchor and refine the intervals of the merged order eight bytes at a time, which gives common
+   prefixes and repeated intervals (see ``interleave``). The order inside a list is not kept by the shuffle, so
+   an interval that is still open is sorted by its next eight bytes; settled suffixes are not touched again.
 
 An anchor with more than ``GROUP_ROWS`` different extents is too much for one task: its strings are
 counted by hash in Spark instead, with the same result. Anchors, extents and strings are compared by

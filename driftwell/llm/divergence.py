@@ -9,7 +9,7 @@ with at least ``LEAST_SHARE`` of all words are broadcast, at most ``1 / LEAST_SH
 those of all other languages are a table that is joined with their documents. The way does not change a result.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null or empty language is compared
-with the whole corpus; repeated rows give repeated results; an empty table gives an empty result; columns
+with the whole corpus (and so is a language named ``*``); a very long text is one row; repeated rows give repeated results; an empty table gives an empty result; columns
 other than ``doc_id``, ``text`` and ``lang`` are not read.
 """
 

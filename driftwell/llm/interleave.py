@@ -1,9 +1,9 @@
 """Merging sorted lists of anchored suffixes by iterative interleave refinement.
 
 A shard lists its suffixes in the order of what follows them, each with the bytes that precede it: its
-Burrows-Wheeler transform. The merged order of all shards is found without sorting suffixes anew: all
-suffixes of a group begin in one interval, and each round splits every interval that still has two or more
-members by the next symbol. The round and place at which two neighbours part is their common prefix.
+Burrows-Wheeler transform. The merged order of all shards is refined: all suffixes of a group begin in one
+interval, and each round splits every interval that still has two or more members by the next symbol (eight
+bytes); only these members are sorted, by that symbol alone. The round and place at which two neighbours part is their common prefix.
 
 Then the preceding bytes are read like the column of a transform: a step to the left keeps the order of the
 suffixes within each byte (the last-to-first mapping), so each step refines the intervals by one byte, and

@@ -10,8 +10,9 @@ All of it is column expressions: no shuffle, no Python on the executors. A text
 ``HINTS`` can't hold a known sentence (each known sentence has one, which is checked when the module is
 loaded), so only the others are searched.
 
-Defined cases: a null or empty text has no sentence and no licence; repeated rows give repeated results;
-columns other than ``doc_id`` and ``text`` are not read.
+Defined cases: a null or empty text has no sentence and no licence; repeated rows give repeated results; an empty
+table gives an empty result; a very long text is one value of one row; of matches that begin at one place the longest
+is taken; columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations

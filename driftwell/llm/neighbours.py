@@ -10,7 +10,9 @@ bounded size whatever the corpus holds. The score uses the text only.
 
 Defined cases: a null or empty text, and any text when there are no labels, gets the share of label 1 in
 the sample (1 without labels); labels of rows without text or with a null label are not used; of several
-labels of one id the smallest counts; repeated rows give repeated results; other columns are not read.
+labels of one id the smallest counts; repeated rows give repeated results; an empty table gives an empty result;
+a very long text is counted like any other; of labelled texts that are equally near at the last place any may vote,
+so the scores of equal texts may differ by some 1e-6 from batch to batch; other columns are not read.
 """
 
 from __future__ import annotations

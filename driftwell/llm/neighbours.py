@@ -29,6 +29,7 @@ from driftwell.llm.table import per_batch
 HASHED = 2048
 EXTRA = 3
 TERMS = HASHED + EXTRA
+ROWS_AT_ONCE = 256
 DIMENSIONS = 64
 NEIGHBOURS = 15
 MAX_LABELLED = 4096
@@ -67,12 +68,16 @@ def term_counts(column: pa.Array) -> np.ndarray:
 
 def weighted(counts: np.ndarray, rarity: np.ndarray) -> np.ndarray:
     """Damped shares of the terms, times rarity, at unit length."""
-    share = counts.copy()
-    share[:, :HASHED] /= np.maximum(counts[:, :HASHED].sum(axis=1, keepdims=True), 1)
-    share[:, HASHED:-1] /= np.maximum(counts[:, -1:], 1)
-    share[:, -1] = 0
-    x = np.sqrt(share) * rarity
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+    x = counts.copy()  # the only copy: all that follows is done in place, some rows at a time
+    x[:, :HASHED] /= np.maximum(counts[:, :HASHED].sum(axis=1, keepdims=True), 1)
+    x[:, HASHED:-1] /= np.maximum(counts[:, -1:], 1)
+    x[:, -1] = 0
+    np.sqrt(x, out=x)
+    x *= rarity
+    for at in range(0, len(x), ROWS_AT_ONCE):
+        some = x[at : at + ROWS_AT_ONCE]
+        some /= np.maximum(np.linalg.norm(some, axis=1, keepdims=True), 1e-12)
+    return x
 
 
 class Model:
@@ -136,9 +141,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     got = labelled_sample(docs, labels).mapInArrow(per_batch(lambda: counted), schema)
     # repeated rows could exceed the bound: one row for each id
     got = got.groupBy("doc_id").agg(F.min(F.struct("label", "counts")).alias("r")).orderBy("doc_id").toArrow()
-    r = got.column("r").combine_chunks()
-    counts = np.frombuffer(b"".join(r.field("counts").to_pylist()), "<u4").reshape(-1, TERMS).astype(np.float32)
-    return Model(counts, np.array(r.field("label").to_pylist(), float))
+    counts, labels, at = np.empty((got.num_rows, TERMS), np.float32), np.empty(got.num_rows), 0
+    for batch in got.to_batches(ROWS_AT_ONCE):  # few rows at a time: the driver holds the counts once
+        r = batch.column("r")
+        counts[at : at + len(r)] = np.frombuffer(b"".join(r.field("counts").to_pylist()), "<u4").reshape(-1, TERMS)
+        labels[at : at + len(r)] = r.field("label").to_numpy(zero_copy_only=False)
+        at += len(r)
+    del got
+    return Model(counts, labels)
 
 
 def scored(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

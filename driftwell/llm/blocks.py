@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
+INDEXES = 1 << 32  # of a batch
 
 
 def constants(name: str, n: int) -> np.ndarray:
@@ -105,12 +106,16 @@ def window_hashes(values: np.ndarray, size: int, name: str) -> np.ndarray:
 
 
 def sliding_argmin(values: np.ndarray, size: int) -> np.ndarray:
-    """Index of the smallest of each ``size`` consecutive values, the first of equals."""
+    """Index of the smallest of each ``size`` consecutive values, the first of equals.
+
+    Values are compared by their upper half, whatever the length of the batch, so equal windows choose the
+    same place wherever they stand; the lower half holds the index."""
     n = len(values)
     if n < size:
         return np.empty(0, np.int64)
-    bits = max(1, int(n).bit_length())
-    low = U((1 << bits) - 1)
+    if n > INDEXES:
+        raise ValueError(f"{n} places in a batch; {INDEXES} can be told apart")
+    low = U(INDEXES - 1)
     best = (values & ~low) | np.arange(n, dtype=U)
     width = 1
     while width < size:

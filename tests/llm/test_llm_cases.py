@@ -390,3 +390,48 @@ def test_small_languages_have_their_own_reference(spark, monkeypatch):
     assert not got[300].kept and got[400].word_distance is not None
     monkeypatch.setattr(divergence, "LEAST_SHARE", 0.5)  # now a rare language: the same from the joined table
     assert {r.doc_id: r for r in divergence.quality_rules(df).collect()} == got
+
+
+def test_anchors_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(11)
+    values = rng.integers(0, 1 << 63, 500).astype(np.uint64)
+    values[100:140] = values[100]  # ties: the first
+    values[200:203] = np.uint64(1 << 40) + np.array([5, 3, 4], np.uint64)
+    whole = sliding_argmin(values, 13)
+    assert (values[whole] >> np.uint64(32) == [(values[i : i + 13] >> np.uint64(32)).min() for i in range(488)]).all()
+    for size in (13, 14, 40, 300):
+        for at in range(0, 500 - size, 7):
+            own = sliding_argmin(values[at : at + size], 13) + at
+            assert (own == whole[at : at + size - 12]).all()
+    assert sliding_argmin(values[200:202], 2)[0] == 0 == sliding_argmin(np.append(values[200:202], values[:38]), 2)[0]
+
+
+def test_equal_strings_have_equal_anchors():
+    passage = long_text(21, 60)
+    alone = seeds.Anchored(pa.array([passage])).extents()
+    among = seeds.Anchored(pa.array([long_text(22, 3000), long_text(23, 500) + " " + passage + " " + long_text(24, 5000)])).extents()
+    assert len(set(alone[4].tolist()) - set(among[4].tolist())) == 0
+    data = pa.array([passage * 2])
+    few, many = bwt.Anchored(data).extents(), bwt.Anchored(pa.array([long_text(25, 4000), "x" + passage * 2])).extents()
+    assert set(few[4].tolist()) <= set(many[4].tolist())
+
+
+def test_names_are_defined_once():
+    import ast
+    from pathlib import Path
+
+    for path in Path(bwt.__file__).parent.glob("*.py"):
+        names = [x.name for x in ast.parse(path.read_text()).body if isinstance(x, ast.FunctionDef | ast.ClassDef)]
+        names += [t.id for x in ast.parse(path.read_text()).body if isinstance(x, ast.Assign) for t in x.targets if isinstance(t, ast.Name)]
+        assert len(names) == len(set(names)), path
+
+
+@pytest.mark.parametrize("one_id", [5, None])
+def test_repeated_rows_spread_over_shards(spark, one_id):
+    rows = [(one_id, "the same text " * 8) for _ in range(1000)] + [(10 + i, f"text {i} " * 9) for i in range(2000)]
+    got = sharding.shard_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), 10)
+    per = got.groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("top")).collect()
+    assert len(per) == 10 and sum(r.n for r in per) == 3000 and all(r.top == r.n - 1 for r in per)
+    assert min(r.b for r in per) >= 0.95 * max(r.b for r in per)
+    hot = got.where(F.col("doc_id").eqNullSafe(F.lit(one_id))).groupBy("shard").count().collect()
+    assert max(r["count"] for r in hot) < 400

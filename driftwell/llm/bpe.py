@@ -6,7 +6,8 @@ encoded independently of each other and of their order, and the ids are concaten
 
 Defined cases: a null or empty text has no ids and decodes to the empty text. Contents of added
 tokens found in a text become their ids, as the tokenizers library does by default. Repeated rows
-give repeated results; columns other than ``doc_id`` and ``text`` are not read.
+give repeated results, an empty table an empty one; a very long text is encoded piece by piece, in memory in
+proportion to its ids; columns other than ``doc_id`` and ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from driftwell.llm.table import per_batch
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHE = 1 << 18  # entries
+CACHED = 64  # longest piece that is kept, in letters or bytes: an entry has a bounded size
 SHORT = 32
 LOW, NEVER = (1 << 32) - 1, 1 << 64  # a rank and the id it leads to, in one number
 
@@ -55,7 +57,9 @@ class Fragments(dict):
         if len(self) >= CACHE:
             self.earlier = dict(self)
             self.clear()
-        ids = self[piece] = self.earlier.get(piece) or self.encode(piece)
+        ids = self.earlier.get(piece) or self.encode(piece)
+        if len(piece) <= CACHED:
+            self[piece] = ids
         return ids
 
 

@@ -182,7 +182,7 @@ _CHUNKED = (
 )
 def ks_by_chunk(spark, d):
     ref, cur = both_slices(spark, d)
-    chunked = D.with_chunk(cur.select("trip_id", "lpep_dropoff_datetime", *_KS), "lpep_dropoff_datetime", ["trip_id"], 1000)
+    chunked = D.with_chunk(cur.select("trip_id", "lpep_dropoff_datetime", *_KS), "lpep_dropoff_datetime", ["trip_id"], 1000, keep=_KS)
     return D.ks_by_chunk(ref, chunked, _KS).withColumn("ks", F.round("ks", 9))
 
 

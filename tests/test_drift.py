@@ -192,3 +192,25 @@ def test_averaged_gradient(spark):
 def test_cv_summary_rounds_half_to_even(spark):
     df = spark.createDataFrame([(1, 0.5, 2), (1, 0.7, 3), (2, 0.5, 3), (2, 0.5, 4)], "trial_id int, best_auc double, best_iteration int")
     assert {r["trial_id"]: r["best_iteration"] for r in M.cv_trial_summary(df).collect()} == {1: 2, 2: 4}
+
+
+@pytest.mark.parametrize("edges", [2, 1000])
+def test_ks_by_chunk_looks_up_few_values(spark, edges, monkeypatch):
+    """Exact for any number of edges, and no (feature, chunk, value) row but those that can decide."""
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=3000), np.r_[rng.normal(0.3, 1, 1900), np.full(100, 0.25)]
+    ref = spark.createDataFrame([(i, float(x), float(i % 3), None) for i, x in enumerate(a)], "id int, x double, k double, z double")
+    cur = spark.createDataFrame([(i, float(x) if i % 9 else None, float(i % 4), 1.0) for i, x in enumerate(b)], "id int, x double, k double, z double")
+    written = {}
+    keep = D.pin
+    monkeypatch.setattr(D, "pin", lambda df, name="table": written.setdefault(name, keep(df, name)))
+    found = D.ks_by_chunk(ref, D.with_chunk(cur, "id", ["id"], 500, keep=["x", "k", "z"]), ["x", "k", "z"], edges_wanted=edges).collect()
+    got = {(r["feature"], r["chunk"]): (r["n_ref"], r["n_cur"], r["ks"]) for r in found}
+    assert len(got) == 8
+    for k in range(4):
+        for name, ours, theirs in (("x", a, [x for i, x in enumerate(b) if i // 500 == k and i % 9]), ("k", np.arange(3000) % 3, [i % 4 for i in range(500 * k, 500 * k + 500)])):
+            at = np.unique(np.r_[ours, theirs])
+            want = np.abs(np.searchsorted(np.sort(ours), at, "right") / 3000 - np.searchsorted(np.sort(theirs), at, "right") / len(theirs)).max()
+            assert got[name, k] == (3000, len(theirs), pytest.approx(want, abs=1e-12))
+    asked = written["bounds"].where("cell is not null").count()
+    assert asked < (2000 if edges == 2 else 60)

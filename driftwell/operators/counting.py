@@ -64,10 +64,11 @@ def chunk_stats(df: DataFrame, chunk: str, text: str = "text", k: int = 3) -> Da
 
 def chunk_stats_in_order(df: DataFrame, key: str, size: int, text: str = "text", k: int = 3, chunk: str = "chunk_id") -> DataFrame:
     """:func:`chunk_stats` of chunks of ``size`` documents along a unique key. Only keys are put in order; texts
-    become counts of words per document where they are read."""
+    move to their key's chunk as they are."""
     ids = with_chunk_id(df.select(key), key, size, out=chunk)
-    own = words(df.select(key, text), text).groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = own.join(ids, key).groupBy(chunk, "word").agg(F.sum("n").alias("n"))
+    # the few texts of a chunk meet in one task, which splits and counts them: no word is shuffled
+    texts = df.select(key, text).join(ids, key).select(chunk, text).repartition(chunk)
+    counts = words(texts, text).groupBy(chunk, "word").agg(F.count(F.lit(1)).alias("n"))
     docs = ids.groupBy(chunk).agg(F.count(F.lit(1)).alias("num_docs"))
     tokens_in = counts.groupBy(chunk).agg(F.sum("n").alias("num_tokens"))
     size_of = docs.join(tokens_in, chunk, "left").na.fill(0, ["num_tokens"])

@@ -2,8 +2,9 @@
 times the sum of what the errors exceed ``epsilon`` by.
 
 The loss has corners, so it is rounded over a width that shrinks from the spread of the label to a share of it; each
-width is solved by Newton steps. A pass over the rows adds up loss, gradient and Hessian at several step lengths at once
-(numbers of columns squared), so a step costs one pass and never fails to go down. The rounded solution is feasible for
+width is solved by Newton steps. A pass over the rows adds up the loss at several step lengths at once, and gradient and
+Hessian at the full step (numbers of columns squared), so a full step costs one pass, a shorter one two, and none fails to
+go down. The rounded solution is feasible for
 the dual problem, and both objectives come from the same pass: their difference bounds how far the result is from the
 optimum. Missing numbers become the median; rows without a label are left out.
 """
@@ -18,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftwell.operators.prefix import exact_quantiles_of_columns
 from driftwell.session import pin
 
 LENGTHS = 0.4 ** np.arange(16)
@@ -44,48 +46,52 @@ def _filled(column: str, median: float):
     return F.coalesce(F.nanvl(F.col(column).cast("double"), F.lit(None)), F.lit(median))
 
 
-def _sums(rows: DataFrame, points: np.ndarray, epsilon: float, width: float, cost: float) -> list[np.ndarray]:
-    """For each point (weights): rounded loss, loss, dual part, gradient, Hessian, all summed over rows."""
+def _sums(rows: DataFrame, points: np.ndarray, epsilon: float, width: float, cost: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rounded loss of each point (weights), and of the first: rounded loss, loss, dual part, gradient, Hessian; all
+    summed over rows."""
     k, d = points.shape
-    size = 3 + d + d * d
+    size = k + 3 + d + d * d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = np.zeros((k, size))
+        out = np.zeros(size)
+        values, full = out[:k], out[k:]
         for b in batches:
             x = b.column("x").flatten().to_numpy().reshape(-1, d)
             y = b.column("y").to_numpy()
-            for i, w in enumerate(points):
-                r = y - x @ w
-                over = np.maximum(np.abs(r) - epsilon, 0)
-                part = np.minimum(over / width, 1)  # slope of the rounded loss
-                alpha = np.sign(r) * part
-                bent = (over > 0) & (over < width)
-                out[i, 0] += (part * over - part * part * width / 2).sum()
-                out[i, 1] += over.sum()
-                out[i, 2] += (alpha * y - epsilon * part).sum()
-                out[i, 3 : 3 + d] += alpha @ x
-                out[i, 3 + d :] += (x[bent].T @ x[bent]).ravel() / width
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * size)), pa.array(out.ravel())], names=["i", "v"])
-
-    cells = rows.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(k * size)
-    for i, v in cells:  # step lengths times (columns + 1) squared
+            errors = y - points @ x.T
+            beyond = np.maximum(np.abs(errors) - epsilon, 0)
+            parts = np.minimum(beyond / width, 1)  # slope of the rounded loss
+            values += (parts * (beyond - parts * (width / 2))).sum(axis=1)
+            r, over, part = errors[0], beyond[0], parts[0]
+            alpha = np.sign(r) * part
+            bent = (over > 0) & (over < width)
+            full[0] += (part * over - part * part * width / 2).sum()
+            full[1] += over.sum()
+            full[2] += (alpha * y - epsilon * part).sum()
+            full[3 : 3 + d] += alpha @ x
+            full[3 + d :] += (x[bent].T @ x[bent]).ravel() / width
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(out)], names=["i", "v"])
+
+    out = np.zeros(size)
+    # step lengths and (columns + 1) squared numbers
+    for i, v in rows.mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
         out[i] = v
-    return [cost * row for row in out.reshape(k, size)]
+    return cost * out[:k], cost * out[k:]
 
 
 def fit_svr(df: DataFrame, features: Sequence[str], label: str = "y", cost: float = 1.0, epsilon: float = 0.2) -> LinearSVR:
     features = list(features)
     numbers = [F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in [*features, label]]
     known = df.select(*numbers).where(F.col(label).isNotNull())
-    row = known.agg(F.stddev_pop(label), *[F.median(c) for c in features]).first()
-    spread, medians = row[0] or 1.0, [m if m is not None else 0.0 for m in row[1:]]
+    spread = known.agg(F.stddev_pop(label)).first()[0] or 1.0
+    middle = exact_quantiles_of_columns(known, features, [0.5])
+    medians = [m if m is not None else 0.0 for m in (middle[c][0] for c in features)]
     x = F.array(*[_filled(c, m) for c, m in zip(features, medians, strict=True)], F.lit(1.0))
     rows = pin(known.select(x.alias("x"), F.col(label).alias("y")), "points")
     d = len(features) + 1
     w, passes, best_of = np.zeros(d), 0, None
     for width in spread * WIDTHS:
-        s = _sums(rows, w[None], epsilon, width, cost)[0]
+        _, s = _sums(rows, w[None], epsilon, width, cost)
         passes += 1
         for _ in range(STEPS):
             value = w @ w / 2 + s[0]
@@ -94,13 +100,16 @@ def fit_svr(df: DataFrame, features: Sequence[str], label: str = "y", cost: floa
             if np.linalg.norm(slope) <= LEVEL * (1 + np.linalg.norm(w)):
                 break
             points = w + LENGTHS[:, None] * step
-            found = _sums(rows, points, epsilon, width, cost)
+            found, s_full = _sums(rows, points, epsilon, width, cost)
             passes += 1
-            values = [p @ p / 2 + f[0] for p, f in zip(points, found, strict=True)]
+            values = (points * points).sum(axis=1) / 2 + found
             best = int(np.argmin(values))
             if values[best] >= value:
                 break
-            w, s = points[best], found[best]
+            w, s = points[best], s_full
+            if best:  # a shorter step: its slopes take a pass of their own
+                _, s = _sums(rows, w[None], epsilon, width, cost)
+                passes += 1
         # weights from the multipliers are feasible for the dual problem
         dual = s[2] - s[3 : 3 + d] @ s[3 : 3 + d] / 2
         objective = float(w @ w / 2 + s[1])

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from driftwell.operators.svr import fit_svr
+from driftwell.operators.svr import _sums, fit_svr
 
 
 def objective(x, y, w, cost, epsilon):
@@ -33,3 +33,16 @@ def test_missing_values(spark):
     got = fit_svr(spark.createDataFrame(rows, "a double, y double"), ["a"])
     assert got.medians == (9.5,) and abs(got.weights[0] - 2) < 0.05
     assert got.predict(spark.createDataFrame([(None,)], "a double")).first().y_pred == pytest.approx(9.5 * got.weights[0] + got.weights[1])
+
+
+def test_pass_adds_one_hessian(spark):
+    """Losses of all points, slopes of the first only."""
+    rng = np.random.default_rng(4)
+    x, y, points = rng.normal(size=(60, 3)), rng.normal(size=60), rng.normal(size=(5, 3))
+    rows = spark.createDataFrame([(r.tolist(), float(v)) for r, v in zip(x, y, strict=True)], "x array<double>, y double").repartition(3)
+    losses, full = _sums(rows, points, 0.2, 0.5, 2.0)
+    over = np.maximum(np.abs(y[:, None] - x @ points.T) - 0.2, 0)
+    part = np.minimum(over / 0.5, 1)
+    assert np.allclose(losses, 2 * (part * over - part**2 * 0.25).sum(axis=0)) and len(full) == 3 + 3 + 9
+    bent = x[(over[:, 0] > 0) & (over[:, 0] < 0.5)]
+    assert np.allclose(full[[0, 1]], [losses[0], 2 * over[:, 0].sum()]) and np.allclose(full[6:], 2 * (bent.T @ bent).ravel() / 0.5)

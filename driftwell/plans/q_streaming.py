@@ -116,7 +116,7 @@ def streamed_completion(spark, d):
     sent = events.select(zone.alias("zone_id"), T.tick_of("ts").alias("tick"), decision, (F.col("value") / 25.0).alias("latency_s"), F.col("event_id").alias("seq"))
     source, out, check = (_folder(spark, n) for n in ("completion", "completed", "completed-checkpoint"))
     late = S.write_deliveries(S.replay_input(grid, sent), source, 4)
-    stream = S.read_stream(spark, f"{source}/delivery=*", S.REPORT_FIELDS, 1)
+    stream = S.read_deliveries(spark, source, S.REPORT_FIELDS)
     run = S.run_to_sink(completed_outcomes(stream, late, USER_ZONES, _COMPLETION), out, check)
     if lost := S.dropped_rows(run):
         raise RuntimeError(f"{lost} rows came too late")
@@ -169,7 +169,7 @@ def streamed_withheld_demand(spark, d):
     source, out, check = (_folder(spark, n) for n in ("withheld", "seen", "seen-checkpoint"))
     made = Q.demand(spark, d, "replay").select("zone_id", F.col("tick").cast("timestamp").alias("tick"), "n", F.col("tick").cast("timestamp").alias("arrival"), F.lit("tick").alias("kind"), F.lit(None).cast("string").alias("decision"), F.col("n").alias("seq"))
     late = S.write_deliveries(made.drop("n"), source, 3)
-    rows = S.read_stream(spark, f"{source}/delivery=*", S.REPORT_FIELDS, 1).select("zone_id", "tick", F.col("seq").alias("n"))
+    rows = S.read_deliveries(spark, source, S.REPORT_FIELDS).select("zone_id", "tick", F.col("seq").alias("n"))
     run = S.run_to_sink(S.withheld_stream(rows, 3, late), out, check)
     if lost := S.dropped_rows(run):
         raise RuntimeError(f"{lost} rows came too late")

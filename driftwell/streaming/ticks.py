@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import threading
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,6 +31,14 @@ def read_stream(spark: SparkSession, path: str, schema, files_per_batch: int | N
     return reader.parquet(path)
 
 
+def read_deliveries(spark: SparkSession, path: str, schema) -> DataFrame:
+    """What :func:`write_deliveries` wrote, as a stream of as many batches as there are deliveries or few more, however
+    many files a delivery has."""
+    found = spark.read.schema(schema).parquet(f"{path}/delivery=*").inputFiles()
+    most = max(Counter(file.rsplit("/", 2)[-2] for file in found).values())
+    return read_stream(spark, f"{path}/delivery=*", schema, most)
+
+
 def tick_counts(stream: DataFrame, zone: str, ts: str, minutes: int = 15, late: str | None = None) -> DataFrame:
     """Event-time tumbling counts per zone; state is one number per open (zone, tick).
 

@@ -217,16 +217,14 @@ def test_ridge_and_tree(spark):
     assert L.error_row(L.score(tree, df, ["y"]))["rmse"] < 6
 
 
-@pytest.mark.parametrize("fit", [L.fit_boosted, L.fit_boosted_classifier])
-def test_boosting_reads_even_parts(spark, monkeypatch, fit):
-    """One part of rows in, one part a core in the fit; node ids are not written at each level."""
-    df = spark.createDataFrame([(float(i % 10), int(i % 10 > 4)) for i in range(400)], "x double, y int").coalesce(1)
-    seen, stages, build = [], [], L.Pipeline.fit
-    monkeypatch.setattr(L.Pipeline, "fit", lambda self, data: (seen.append(data), stages.extend(self.getStages()), build(self, data))[-1])
-    model = fit(df, ["x"], "y", L.Boost(trees=2, depth=2))
-    sizes = [r["n"] for r in seen[0].groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
-    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) <= 2 * min(sizes) and sum(sizes) == 400
-    assert not stages[-1].getOrDefault("cacheNodeIds") and model.stages[-1].getNumTrees == 2
+def test_boosting_keeps_no_node_ids(spark):
+    """A fit without node ids gives the trees of one with them."""
+    df = spark.createDataFrame([(float(i % 10), float(i % 7), float(i % 10 > 4) + i % 7) for i in range(400)], "x double, z double, y double")
+    kept = L.boosted_regressor(["x", "z"], "y", L.Boost(trees=3, depth=4))
+    assert not kept.getStages()[-1].getOrDefault("cacheNodeIds")
+    kept.getStages()[-1].setCacheNodeIds(True)
+    fitted = [L.fit_boosted(df, ["x", "z"], "y", L.Boost(trees=3, depth=4)), kept.fit(df)]
+    assert len({m.stages[-1].toDebugString.split("\n", 1)[1] for m in fitted}) == 1
 
 
 def test_curve_and_search(spark):

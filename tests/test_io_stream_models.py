@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 import uuid
 
 import numpy as np
@@ -289,3 +290,37 @@ def test_tip_frame_leaves_out_the_total(spark, data_dir):
     assert "total_amount" not in features and "tip_amount" not in features and df.where("y is null").count() == 0
     with pytest.raises(ValueError, match="tip_amount"):
         tip_frame(ref.drop("tip_amount"))
+
+
+def test_svc_grid_fits_as_spark_does(spark):
+    """All models of the grid, fitted in common passes without cached rows, are those of Spark's cross-validation."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    draw = random.Random(5)
+    rows = []
+    for i in range(400):
+        a, b, c = draw.gauss(0, 1), draw.gauss(50, 10), draw.gauss(2, 0.1)
+        y = float(a + 0.2 * (b - 50) - 4 * (c - 2) + draw.gauss(0, 1.5) > 0.4)
+        rows.append((y, None if i % 11 == 0 else a, float("nan") if i % 13 == 0 else b, c, 7.0, i % 6))
+    df = pin(spark.createDataFrame(rows, "y double, a double, b double, c double, d double, e int").repartition(3), "points")
+    names = ["a", "b", "c", "d", "e"]
+    table, model = L.svc_grid(df, names, costs=(1, 100), folds=2)
+    assert not df.is_cached and not spark.sparkContext._jsc.getPersistentRDDs()
+    svc = LinearSVC(labelCol="y", featuresCol="scaled", maxIter=30, tol=1e-3)
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
+    grid = ParamGridBuilder().addGrid(svc.regParam, [1.0 / (c * 400) for c in (1, 100)]).build()
+    judge = MulticlassClassificationEvaluator(labelCol="y", metricName="accuracy")
+    pipe = Pipeline(stages=[*L.assembled(names), scaler, svc])
+    want = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=judge, numFolds=2, seed=0).fit(L.ints_to_double(df))
+    got = {r.cost: r.accuracy for r in table.collect()}
+    assert [got[1.0], got[100.0]] == pytest.approx(want.avgMetrics, abs=1e-9)
+    one, other = model.stages[-1], want.bestModel.stages[-1]
+    assert one.coefficients.toArray() == pytest.approx(other.coefficients.toArray(), abs=1e-6)
+    assert one.intercept == pytest.approx(other.intercept, abs=1e-6) and one.getRegParam() == other.getRegParam()
+    assert model.transform(L.ints_to_double(df)).count() == 400
+    with pytest.raises(ValueError, match="Labels"):
+        L.svc_grid(df.withColumn("y", F.col("y") + 1), names)
